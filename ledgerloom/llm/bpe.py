@@ -26,7 +26,10 @@ from .common import columns, prepare
 NONE = np.int32(2**31 - 1)
 LONG = 2048  # bytes of a piece beyond which the heap is used
 CELLS = 1 << 20  # cells of a matrix at most
-KNOWN = 300_000  # pieces whose ids a worker remembers
+KNOWN = 600_000  # pieces whose ids a worker remembers
+#: A pattern under which a piece always begins at a space before a non-space and never looks behind it (fixed value):
+#: a text without other spaces may be cut there, and what lies between two cuts is looked up as a whole.
+SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _codecs: dict[tuple[str, str], Codec] = {}
 
 
@@ -40,6 +43,7 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.find = regex.compile(pattern).findall
+        self.odd = regex.compile(r" (?:\s|$)").search if pattern == SPACED else None
         self.first = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.known: dict[str, tuple[int, ...]] = {}
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -80,18 +84,18 @@ class Codec:
         out: list[tuple[int, ...]] = [()] * len(pieces)
         width = max(map(len, pieces))
         ids = np.full((len(pieces), width), -1, dtype=np.int32)
-        for i, p in enumerate(pieces):
-            ids[i, : len(p)] = self.first[np.frombuffer(p, dtype=np.uint8)]
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        ids[np.arange(width) < sizes[:, None]] = self.first[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
         rows = np.arange(len(pieces))
         ranks = self.rank(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(pieces), width - 1)
         while len(rows):
             at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), dtype=np.int64)
             best = ranks[np.arange(len(rows)), at] if ranks.shape[1] else np.full(len(rows), NONE)
             done = best == NONE
-            for i in np.flatnonzero(done):
-                row = ids[i]
-                out[rows[i]] = tuple(row[row >= 0].tolist())
             if done.any():
+                over = ids[done]
+                for i, row, n in zip(rows[done].tolist(), over.tolist(), (over >= 0).sum(axis=1).tolist(), strict=True):
+                    out[i] = tuple(row[:n])
                 go = ~done
                 rows, ids, ranks, at, best = rows[go], ids[go], ranks[go], at[go], best[go]
                 if not len(rows):
@@ -154,24 +158,41 @@ class Codec:
                     out[i] = ids
         return out
 
+    def _cut(self, text: str | None) -> list[str]:
+        """Parts of the text whose pieces don't depend on each other; all but the first stand for a space and the part."""
+        if not text:
+            return []
+        return text.split(" ") if self.odd and not self.odd(text) else [text]
+
     def encode_batch(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text."""
-        known = self.known
-        group: list[list[str]] = []
+        group: list[tuple[str, list[str]]] = []
         held = 0
         for i, text in enumerate(texts):
-            group.append(self.find(text) if text else [])
-            held += len(group[-1])
+            head, *rest = self._cut(text) or [""]
+            group.append((head, rest))
+            held += len(rest) + len(head) // 8
             if held > 500_000 or i == len(texts) - 1:
-                fresh = list(set(chain.from_iterable(group)).difference(known))
-                if len(known) + len(fresh) > KNOWN:
-                    known.clear()
-                    fresh = list(set(chain.from_iterable(group)))
-                known.update(zip(fresh, self.encode_pieces([p.encode() for p in fresh]), strict=True))
-                for pieces in group:
-                    yield list(chain.from_iterable(map(known.__getitem__, pieces)))
+                yield from self._encode_group(group)
                 group, held = [], 0
 
+    def _encode_group(self, group: list[tuple[str, list[str]]]) -> Iterator[list[int]]:
+        known, parts = self.known, set(chain.from_iterable(rest for _, rest in group))
+        fresh = list(parts.difference(known))
+        if len(known) + len(fresh) > KNOWN:
+            known.clear()
+            fresh = list(parts)
+        cut = [*(self.find(f" {p}") for p in fresh), *(self.find(head) for head, _ in group)]
+        pieces = list(set(chain.from_iterable(cut)))
+        ids = dict(zip(pieces, self.encode_pieces([p.encode() for p in pieces]), strict=True))
+        whole = [tuple(chain.from_iterable(map(ids.__getitem__, x))) for x in cut]
+        known.update(zip(fresh, whole, strict=False))
+        for (_, rest), first in zip(group, whole[len(fresh) :], strict=True):
+            yield [*first, *chain.from_iterable(map(known.__getitem__, rest))]
+        for p in fresh:
+            if len(p) > 64:
+                del known[p]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
