@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query name and module; each module has query(spark, sf_dir) and, where SQL can express it, ORACLE_SQL.
 MODULES = {
+    "op1_pii": "pii",
     "op2_langid": "langid",
     "op5_mixing": "mixing",
     "op7_bpe": "bpe",
