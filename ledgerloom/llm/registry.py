@@ -10,6 +10,8 @@ MODULES = {
     "op2_langid": "langid",
     "op5_mixing": "mixing",
     "op7_bpe": "bpe",
+    "op8_quality_rules": "quality_rules",
+    "op10_quality_model": "quality_model",
 }
 
 
