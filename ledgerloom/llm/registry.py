@@ -12,6 +12,7 @@ MODULES = {
     "op5_mixing": "mixing",
     "op7_bpe": "bpe",
     "op8_quality_rules": "quality_rules",
+    "op9_ngram_join": "ngram_join",
     "op10_quality_model": "quality_model",
 }
 
