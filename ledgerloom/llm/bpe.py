@@ -209,12 +209,14 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
     return _run(docs, path, pattern, keep, text, [("ids", "array<int>", pa.list_(pa.int32()), lambda c, ids: ids)])
 
 
-def digest(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the bytes decoded from the ids)."""
+def digest(docs: DataFrame, path: str, pattern: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the bytes decoded from the ids), and the ids if asked for."""
+    ids = [("ids", "array<int>", pa.list_(pa.int32()), lambda c, ids: ids)] if with_ids else []
     return _run(docs, path, pattern, ("doc_id",), text, [
         ("n_tokens", "long", pa.int64(), lambda c, ids: len(ids)),
         ("ids_sha256", "string", pa.string(), lambda c, ids: hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()),
         ("decoded_sha256", "string", pa.string(), lambda c, ids: hashlib.sha256(c.decode(ids)).hexdigest()),
+        *ids,
     ])
 
 
