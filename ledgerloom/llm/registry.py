@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = {
     "op1_pii": "pii",
     "op2_langid": "langid",
+    "op3_embedding_join": "embedding_join",
     "op4_html_text": "html_text",
     "op5_mixing": "mixing",
     "op7_bpe": "bpe",
