@@ -11,6 +11,7 @@ MODULES = {
     "op3_embedding_join": "embedding_join",
     "op4_html_text": "html_text",
     "op5_mixing": "mixing",
+    "op6_substring_dedup": "substring_dedup",
     "op7_bpe": "bpe",
     "op8_quality_rules": "quality_rules",
     "op9_ngram_join": "ngram_join",
