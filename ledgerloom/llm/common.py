@@ -74,6 +74,16 @@ class WordHashes:
         return np.array(out, dtype=np.uint64)
 
 
+_worker: list[WordHashes] = []
+
+
+def worker_hashes() -> WordHashes:
+    """One memory of word hashes for a worker process, for functions that are called once a group."""
+    if not _worker:
+        _worker.append(WordHashes())
+    return _worker[0]
+
+
 def shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
     """Hashes of each run of n words in order; fewer words give the whole sequence as one, none give none."""
     if not len(h):
