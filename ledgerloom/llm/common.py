@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,17 @@ def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
+def small(it: Iterator[pa.RecordBatch], text: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with about so many bytes of text, so that arrays made of them stay small."""
+    for batch in it:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """splitmix64's finalizer on uint64."""
     x = (x ^ (x >> np.uint64(30))) * MIX1
@@ -55,7 +67,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of byte words, the same in every process; remembers a bounded number of words."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 250_000):
         import xxhash
 
         self.bound, self.of = bound, xxhash.xxh3_64_intdigest
