@@ -1,11 +1,364 @@
-"""Named queries over the driver's tables and the SQL that gives the same rows."""
+"""Named queries over the driver's tables and the SQL that gives the same rows.
+
+The tables have no reports, so each operator runs on what corresponds: an order's total is a stated total and its line
+items are the items; nations stand for properties, part types for the fixed axis, l_returnflag for the bucket.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ledgerloom.functions import coerce, rules, text
+from ledgerloom.operators import checks, dedupe, grid, grounding, merge, profile, reconcile
+from ledgerloom.sources import sinks
+
+_queries: dict[str, Callable] = {}
+_sql: dict[str, str] = {}
+TYPES = ["PROMO", "STANDARD", "ECONOMY", "SMALL", "MEDIUM", "LARGE"]
+#: Rules for part names, without lookaround so that both engines read them alike.
+NAME_RULES = [("metal", r"(?i)\b(?:steel|copper|brass|tin|nickel|iron|metal)\w*"), ("colour", r"(?i)\b(?:red|blue|green|black|white|yellow)\w*"), ("size", r"(?i)\b(?:small|large|tiny|huge|big)\w*"), ("widget", r"(?i)\b(?:widget|gear|bolt|gadget|valve)\w*")]
+STYLE = [("table", r" \| "), ("shout", r"[A-Z]{4,}!!"), ("symbols", r"\*\*\*|&&&|%%%"), ("license", r"(?i)license"), ("prose", r"[.] ?")]
+CENTS = "decimal(18,2)"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, d: str, *names: str):
+    out = [spark.read.parquet(f"{d}/{n}.parquet") for n in names]
+    return out if len(out) > 1 else out[0]
+
+
+@query("""
+SELECT o_orderkey, o_totalprice, s.summed, coalesce(s.n_items, 0) AS n_items,
+  CASE WHEN o_totalprice IS NULL OR s.summed IS NULL THEN TRUE ELSE abs(o_totalprice - s.summed) <= greatest(1.0, abs(o_totalprice) * 0.015) END AS ties
+FROM orders LEFT JOIN (
+  SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS summed, count(l_extendedprice) AS n_items FROM lineitem GROUP BY 1
+) s ON l_orderkey = o_orderkey""")
+def reconcile_orders(spark, d) -> DataFrame:
+    o, li = t(spark, d, "orders", "lineitem")
+    return reconcile.stated_against_items(o.select("o_orderkey", "o_totalprice"), li.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice"), "o_orderkey", "o_totalprice", "l_extendedprice")
+
+
+@query("""
+WITH s AS (SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS c, max(l_tax) * 100 AS pct,
+    CAST(sum(CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS near FROM lineitem GROUP BY 1),
+j AS (SELECT o_orderkey, o_totalprice AS t, c, pct, near FROM orders LEFT JOIN s ON l_orderkey = o_orderkey),
+k AS (SELECT *, greatest(1.0, abs(t) * 0.015) AS tol FROM j)
+SELECT o_orderkey, (c IS NULL OR abs(t - c) <= tol) AS plain,
+  (c IS NULL OR abs(t - c) <= tol OR coalesce(pct <> 0 AND abs(t - c * (1 + pct / 100.0)) <= tol, FALSE)) AS with_contingency,
+  (c IS NULL OR abs(t - c) <= tol OR near IS NULL OR abs(t - near) <= tol) AS immediate
+FROM k""")
+def reconcile_allowances(spark, d) -> DataFrame:
+    o, li = t(spark, d, "orders", "lineitem")
+    cost = reconcile.money(F.col("l_extendedprice"))
+    s = li.groupBy("l_orderkey").agg(F.sum(cost).cast("double").alias("c"), (F.max("l_tax") * 100).alias("pct"), F.sum(F.when(F.col("l_returnflag") != "R", cost)).cast("double").alias("near"))
+    j = o.join(s, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    total, c = F.col("o_totalprice"), F.col("c")
+    return j.select("o_orderkey", reconcile.reconciles(total, c).alias("plain"), reconcile.reconciles(total, c, F.col("pct")).alias("with_contingency"), reconcile.reconciles_immediate(total, c, F.col("near")).alias("immediate"))
+
+
+@query("""
+SELECT l_orderkey, CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS sum_A,
+  CAST(sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS sum_N,
+  CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS sum_R,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_all FROM lineitem GROUP BY 1""")
+def bucket_sums(spark, d) -> DataFrame:
+    return reconcile.bucket_sums(t(spark, d, "lineitem"), ["l_orderkey"], "l_returnflag", "l_extendedprice", ["A", "N", "R"])
+
+
+@query("""
+WITH types AS (SELECT DISTINCT p_type FROM part), g AS (SELECT n_nationkey, n_name, p_type FROM nation CROSS JOIN types),
+r AS (SELECT s_nationkey, p_type, CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS reserve,
+  count(CASE WHEN l_returnflag = 'R' THEN l_extendedprice END) AS n_reserve, CAST(sum(CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS near,
+  count(CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END) AS n_near
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
+SELECT n_name, g.p_type, coalesce(reserve, 0) AS reserve_usd, coalesce(near, 0) AS near_term_usd, coalesce(reserve, 0) + coalesce(near, 0) AS total_usd,
+  coalesce(n_reserve, 0) AS n_reserve_items, coalesce(n_near, 0) AS n_near_term_items
+FROM g LEFT JOIN r ON s_nationkey = n_nationkey AND r.p_type = g.p_type""")
+def capex_grid(spark, d) -> DataFrame:
+    n, s, p, li = t(spark, d, "nation", "supplier", "part", "lineitem")
+    axis = sorted(r[0] for r in p.select("p_type").distinct().collect())  # a fixed axis of a few names
+    items = li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(p, li["l_partkey"] == p["p_partkey"]).select(F.col("s_nationkey").alias("n_nationkey"), "p_type", "l_returnflag", "l_extendedprice")
+    sums = grid.rollup(items, ["n_nationkey", "p_type"], reconcile.money(F.col("l_extendedprice")), {"reserve": F.col("l_returnflag") == "R", "near_term": F.col("l_returnflag") != "R"})
+    out = grid.complete(n, "n_nationkey", "p_type", axis).join(sums, ["n_nationkey", "p_type"], "left").join(n, "n_nationkey")
+    a, b = F.coalesce("reserve_usd", F.lit(0.0)), F.coalesce("near_term_usd", F.lit(0.0))
+    return out.select("n_name", "p_type", a.alias("reserve_usd"), b.alias("near_term_usd"), (a + b).alias("total_usd"), F.coalesce("n_reserve_items", F.lit(0)).alias("n_reserve_items"), F.coalesce("n_near_term_items", F.lit(0)).alias("n_near_term_items"))
+
+
+def _case(rules_, col: str, default: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({col}, '{p}') THEN '{label}'" for label, p in rules_) + f" ELSE '{default}' END"
+
+
+@query(f"SELECT p_partkey, {_case(NAME_RULES, 'p_name', 'other')} AS category FROM part")
+def classify_first_match(spark, d) -> DataFrame:
+    return t(spark, d, "part").select("p_partkey", rules.first_match(F.col("p_name"), NAME_RULES).alias("category"))
+
+
+@query(f"""SELECT n, matched, round_even(100.0 * matched / greatest(1, n), 1)::DOUBLE AS matched_pct FROM (
+  SELECT count(*) AS n, count(*) FILTER ({_case(NAME_RULES[:2], 'p_name', 'other')} <> 'other') AS matched FROM part)""")
+def classify_coverage(spark, d) -> DataFrame:
+    return rules.coverage(t(spark, d, "part"), rules.first_match(F.col("p_name"), NAME_RULES[:2]))
+
+
+@query("SELECT p_partkey, " + _case(NAME_RULES, "p_name", "other") + " AS label, CASE " + " ".join(f"WHEN regexp_matches(p_name, '{p}') THEN regexp_extract(p_name, '{p}', 0)" for _, p in NAME_RULES) + " END AS matched FROM part")
+def explain_match(spark, d) -> DataFrame:
+    return t(spark, d, "part").select("p_partkey", rules.explain(F.col("p_name"), NAME_RULES).alias("e")).select("p_partkey", "e.*")
+
+
+@query()
+def subcategories(spark, d) -> DataFrame:
+    return t(spark, d, "part").select("p_partkey", rules.category(F.col("p_name")).alias("category"), rules.subcategory(F.col("p_name")).alias("subcategory"), rules.subcategory_of_component(F.col("p_name")).alias("of_component"))
+
+
+SQUASH = "regexp_replace(translate(lower({0}), 'àáâãäåèéêëìíîïòóôõöùúûüýÿñçšž', 'aaaaaaeeeeiiiiooooouuuuyyncsz'), '[^a-z0-9]', '', 'g')"
+
+
+@query(f"""SELECT doc_id, item_id FROM documents d JOIN benchmark b ON len(list_filter(regexp_split_to_array(b.text, '\\s+'), lambda x: {SQUASH.format('x')} <> '')) >= 5
+  AND contains({SQUASH.format('d.text')}, {SQUASH.format('b.text')})""")
+def ground_snippets(spark, d) -> DataFrame:
+    docs, b = t(spark, d, "documents", "benchmark")
+    return grounding.snippet_hits(docs.select("doc_id", "text"), b.select("item_id", "text"), "doc_id", "item_id")
+
+
+@query("""SELECT item_id, len(f) AS n_fragments, len(f) > 0 AS in_order FROM (
+  SELECT item_id, list_filter(list_transform(regexp_split_to_array(text, '\\.{2,}|…'), lambda x: trim(x)), lambda x: x <> '') AS f FROM benchmark)""")
+def ordered_fragments(spark, d) -> DataFrame:
+    b = t(spark, d, "benchmark")
+    f = text.fragments(F.col("text"))
+    return b.select("item_id", F.size(f).cast("long").alias("n_fragments"), text.contains_ordered(F.col("text"), f).alias("in_order"))
+
+
+@query("""WITH k AS (SELECT sha256(text) AS h, min(doc_id) AS kept, count(*) AS copies FROM documents GROUP BY 1)
+SELECT doc_id, kept, copies FROM documents JOIN k ON sha256(text) = h WHERE doc_id <> kept""")
+def dedupe_exact(spark, d) -> DataFrame:
+    docs = t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    k = docs.groupBy("h").agg(F.min("doc_id").alias("kept"), F.count("*").alias("copies"))
+    return docs.join(k, "h").where("doc_id <> kept").select("doc_id", "kept", "copies")
+
+
+@query("""WITH f AS (SELECT doc_id, source, sha256(text) AS sha, text, n_chars FROM documents), k AS (SELECT sha, min(source || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS kept FROM f GROUP BY 1),
+a AS (SELECT source || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS file, sha, text, n_chars, kept FROM f JOIN k USING (sha)),
+s AS (SELECT *, CASE WHEN length(trim(text)) >= 200 THEN sha256(trim(text)) END AS page FROM a WHERE file = kept),
+p AS (SELECT page, n_chars, min(file) AS kept2 FROM s WHERE page IS NOT NULL GROUP BY 1, 2)
+SELECT file, kept, 'same bytes' AS why FROM a WHERE file <> kept
+UNION ALL SELECT file, coalesce(kept2, file), CASE WHEN kept2 <> file THEN 'same first page' END FROM s LEFT JOIN p USING (page, n_chars)""")
+def dedupe_files(spark, d) -> DataFrame:
+    f = t(spark, d, "documents").select(F.concat("source", F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("file"), F.sha2("text", 256).alias("bytes_sha"), F.col("text").alias("first_page_text"), F.col("n_chars").alias("n_pages"))
+    return dedupe.dedupe(f)
+
+
+@query("SELECT doc_id, count(*) OVER (PARTITION BY sha256(text)) > 1 AS duplicated FROM documents")
+def dup_flag(spark, d) -> DataFrame:
+    return dedupe.duplicate_flag(t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h")), "h").select("doc_id", "duplicated")
+
+
+@query("""WITH h AS (SELECT DISTINCT s_nationkey AS nation, p_type FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_quantity > 49),
+a AS (SELECT unnest(['PROMO', 'STANDARD', 'ECONOMY', 'SMALL', 'MEDIUM', 'LARGE', 'NONE']) AS member), n AS (SELECT DISTINCT nation FROM h)
+SELECT n.nation, member FROM n CROSS JOIN a WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.nation = n.nation AND h.p_type = member)""")
+def grid_missing(spark, d) -> DataFrame:
+    s, p, li = t(spark, d, "supplier", "part", "lineitem")
+    have = li.where("l_quantity > 49").join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("s_nationkey").alias("nation"), "p_type")
+    return checks.missing_members(have, "nation", "p_type", [*TYPES, "NONE"])
+
+
+@query("""WITH w AS (SELECT l_orderkey, l_returnflag || l_linestatus AS member, CAST(max(l_quantity) AS DOUBLE) AS weight FROM lineitem GROUP BY 1, 2)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY weight DESC, member) AS rank FROM w) WHERE rank <= 2""")
+def suspect_topk(spark, d) -> DataFrame:
+    li = t(spark, d, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("member"), F.col("l_quantity").cast("double").alias("weight"))
+    return merge.top_suspects(li, "l_orderkey", "member", "weight", 2).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("""SELECT conv_id, turn, coalesce(f, FALSE) OR coalesce(lag(f) OVER w, FALSE) OR coalesce(lead(f) OVER w, FALSE) AS selected
+FROM (SELECT conv_id, turn, length(text) > 400 AS f FROM conversations) WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
+def neighbor_pages(spark, d) -> DataFrame:
+    c = t(spark, d, "conversations").select("conv_id", "turn", (F.length("text") > 400).alias("f"))
+    return dedupe.neighbours(c, "conv_id", "turn", "f").select("conv_id", "turn", "selected")
+
+
+@query("WITH l(rank, label, p) AS (VALUES " + ", ".join(f"({i}, '{a}', '{p}')" for i, (a, p) in enumerate(STYLE)) + """),
+h AS (SELECT source, rank, label, count(*) AS hits, min(doc_id) AS first FROM documents, l WHERE regexp_matches(text, p) GROUP BY 1, 2, 3)
+SELECT source, label, hits FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY hits DESC, first, rank) AS r FROM h) WHERE r = 1""")
+def vote_argmax(spark, d) -> DataFrame:
+    return rules.vote(t(spark, d, "documents"), "source", "text", STYLE, "doc_id")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS l_extendedprice, string_agg(DISTINCT l_returnflag, '; ' ORDER BY l_returnflag) AS flags, bool_or(l_discount > 0.05) AS discounted
+FROM lineitem GROUP BY 1, 2""")
+def merge_rows(spark, d) -> DataFrame:
+    li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_returnflag").alias("flags"), F.col("l_returnflag").alias("pos"), (F.col("l_discount") > 0.05).alias("discounted"))
+    return grid.merge_rows(li, ["l_orderkey", "l_linenumber"], "pos", ["l_extendedprice"], ["flags"], [], "discounted")
+
+
+@query("""SELECT doc_id, TRY_CAST(replace(regexp_extract(text, '[0-9][0-9,]*(?:\\.[0-9]+)?', 0), ',', '') AS DOUBLE) AS first_number,
+  CAST(len(regexp_extract_all(text, '[0-9][0-9,]*(?:\\.[0-9]+)?')) AS BIGINT) AS n_numbers FROM documents""")
+def coerce_numbers(spark, d) -> DataFrame:
+    pattern = r"[0-9][0-9,]*(?:\.[0-9]+)?"
+    return t(spark, d, "documents").select("doc_id", text.bare(F.nullif(F.regexp_extract("text", pattern, 0), F.lit(""))).alias("first_number"), F.regexp_count("text", F.lit(pattern)).cast("long").alias("n_numbers"))
+
+
+@query("SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.page') AS page FROM events")
+def parse_json_map(spark, d) -> DataFrame:
+    return t(spark, d, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"), F.get_json_object("props", "$.page").alias("page"))
+
+
+PAGE_MARKS = ["license", "copyright", "example.com", "the ", "token"]
+
+
+@query("SELECT page_id, " + " + ".join(f"CASE WHEN contains(lower(html), '{m}') OR contains(regexp_replace(lower(html), '[^a-z0-9]', '', 'g'), '{''.join(c for c in m if c.isalnum())}') THEN 1 ELSE 0 END" for m in PAGE_MARKS) + """ AS markers,
+  CASE WHEN len(regexp_extract_all(html, '\\$\\s?[0-9,]+')) >= 12 THEN 2 WHEN len(regexp_extract_all(html, '\\$\\s?[0-9,]+')) >= 6 THEN 1 ELSE 0 END AS structure FROM pages""")
+def page_scores(spark, d) -> DataFrame:
+    p = t(spark, d, "pages")
+    low = F.lower("html")
+    return p.select("page_id", profile.marker_hits(low, profile.plain(F.col("html")), PAGE_MARKS).alias("markers"), profile.structure_score(low).alias("structure"))
+
+
+@query("""SELECT source, count(*) AS n_pages, CAST(round_even(100.0 * count(*) FILTER (length(text) > 50) / count(*), 0) AS INT) AS text_pct, min(n_chars) AS shortest, max(n_chars) AS longest, CAST(sum(n_chars) AS BIGINT) AS total, median(n_chars) AS middle
+FROM documents GROUP BY 1""")
+def doc_profile(spark, d) -> DataFrame:
+    return t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n_pages"), F.bround(F.lit(100.0) * F.count_if(F.length("text") > 50) / F.count("*"), 0).cast("int").alias("text_pct"), F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest"), F.sum("n_chars").alias("total"), F.median("n_chars").alias("middle"))
+
+
+@query()
+def page_profiles(spark, d) -> DataFrame:
+    pages = t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), "text")
+    return profile.profile(pages, front=2, budget=6)
+
+
+@query()
+def page_selection(spark, d) -> DataFrame:
+    pages = t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), (F.length("text") % 4).cast("int").alias("score"))
+    return profile.select_pages(pages, front=1, budget=4)
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1")
+def value_counts(spark, d) -> DataFrame:
+    return t(spark, d, "events").where("event_type is not null").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS types, count(props) AS with_props FROM events")
+def distinct_counts(spark, d) -> DataFrame:
+    return t(spark, d, "events").agg(F.countDistinct("user_id").alias("users"), F.countDistinct("event_type").alias("types"), F.count("props").alias("with_props"))
+
+
+@query("SELECT median(n) AS middle, CAST(max(n) AS BIGINT) AS most FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1)")
+def median_by_group(spark, d) -> DataFrame:
+    return t(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n")).agg(F.median("n").alias("middle"), F.max("n").alias("most"))
+
+
+@query("""SELECT c_custkey, CASE WHEN k IS NULL THEN 'todo' WHEN s = 'F' THEN 'current' ELSE 'stale' END AS state FROM customer LEFT JOIN (
+  SELECT o_custkey AS k, max(o_orderstatus) AS s FROM orders GROUP BY 1) ON k = c_custkey""")
+def incremental_todo(spark, d) -> DataFrame:
+    c, o = t(spark, d, "customer", "orders")
+    done = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderstatus").alias("s"))
+    return dedupe.work_list(c.select("c_custkey"), done, "c_custkey", "s", F.lit("F"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+def orphan_keys(spark, d) -> DataFrame:
+    c, o = t(spark, d, "customer", "orders")
+    return dedupe.orphans(c.select("c_custkey"), o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("""SELECT count(*) AS n_stamps, CAST(sum(n) AS BIGINT) AS n, bool_and(s = 'F') AS all_current, CASE WHEN bool_or(s = 'unversioned') THEN 'UNKNOWN' WHEN count(*) = 1 THEN 'UNIFORM' ELSE 'MIXED' END AS verdict
+FROM (SELECT coalesce(nullif(o_orderstatus, ''), 'unversioned') AS s, count(*) AS n FROM orders GROUP BY 1)""")
+def stamp_audit(spark, d) -> DataFrame:
+    return dedupe.stamp_audit(t(spark, d, "orders"), "o_orderstatus", F.lit("F"))
+
+
+@query("""SELECT doc_id, field, CASE WHEN quality = 0 AND toxic = 1 THEN 'reviewed' ELSE value END AS value, coalesce(quality = 0 AND toxic = 0, FALSE) AS unresolved FROM (
+  SELECT doc_id, 'lang' AS field, lang AS value FROM documents) LEFT JOIN labels USING (doc_id)""")
+def verdict_merge(spark, d) -> DataFrame:
+    docs, labels = t(spark, d, "documents", "labels")
+    cells = docs.select("doc_id", F.lit("lang").alias("field"), F.col("lang").alias("value"))
+    v = labels.select("doc_id", F.lit("lang").alias("key"), (F.col("quality") == 1).alias("ok"), F.when(F.col("toxic") == 1, "reviewed").alias("corrected_value"))
+    return merge.apply_verdicts(cells, v, "doc_id")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size > 40 THEN NULL ELSE p_size END AS p_size, CASE WHEN p_size > 45 THEN 'patched' ELSE p_brand END AS p_brand FROM part""")
+def partial_merge(spark, d) -> DataFrame:
+    p = t(spark, d, "part").select("p_partkey", "p_size", "p_brand")
+    entry = F.map_from_arrays(F.array(F.lit("p_size")), F.array(F.lit(None).cast("string")))
+    patch = F.when(F.col("p_size") > 45, F.map_concat(entry, F.create_map(F.lit("p_brand"), F.lit("patched")))).when(F.col("p_size") > 40, entry)
+    return merge.merge_partial_rows(p, p.select("p_partkey", patch.alias("patch")), ["p_partkey"], ["p_size", "p_brand"])
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity * p_retailprice AS product, l_extendedprice AS c FROM lineitem JOIN part ON p_partkey = l_partkey),
+y AS (SELECT *, CASE WHEN c = 0 THEN NULL ELSE product / c END AS ratio FROM x)
+SELECT count(*) AS n, count(*) FILTER (abs(product - c) <= greatest(1.0, abs(product) * 0.015) OR coalesce(round_even(ratio, 0) BETWEEN 1 AND 20 AND abs(ratio - round_even(ratio, 0)) <= 0.02, FALSE)) AS n_ok FROM y""")
+def arithmetic_rows(spark, d) -> DataFrame:
+    li, p = t(spark, d, "lineitem", "part")
+    j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    return reconcile.row_arithmetic(j, "l_quantity", "p_retailprice", "l_extendedprice").agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
+
+
+@query("""WITH x AS (SELECT o_orderkey, year(l_shipdate) - year(o_orderdate) + 1 AS term, CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+SELECT o_orderkey, CAST(sum(c) FILTER (term = 1) AS DOUBLE) AS year_1, CAST(sum(c) FILTER (term = 2) AS DOUBLE) AS year_2, CAST(sum(c) FILTER (term = 3) AS DOUBLE) AS year_3 FROM x GROUP BY 1""")
+def year_schedule_pivot(spark, d) -> DataFrame:
+    o, li = t(spark, d, "orders", "lineitem")
+    x = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", (F.year("l_shipdate") - F.year("o_orderdate") + 1).alias("term"), reconcile.money(F.col("l_extendedprice")).alias("c"))
+    return x.groupBy("o_orderkey").agg(*(F.sum(F.when(F.col("term") == i, F.col("c"))).cast("double").alias(f"year_{i}") for i in (1, 2, 3)))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS property_id, 'part' AS layer, 'p_size' AS field, 'range' AS kind, CAST(p_size AS VARCHAR) AS detail FROM part WHERE p_size < 5 OR p_size > 45")
+def range_checks(spark, d) -> DataFrame:
+    return checks.issues(t(spark, d, "part"), "p_partkey", "part", {"p_size": (5, 45)}).drop("row_idx")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS property_id, 'orders' AS layer, 'o_orderpriority' AS field, 'category' AS kind, lower(o_orderpriority) AS detail FROM orders WHERE lower(o_orderpriority) NOT IN ('1-urgent', '2-high')")
+def category_checks(spark, d) -> DataFrame:
+    return checks.issues(t(spark, d, "orders"), "o_orderkey", "orders", categories={"o_orderpriority": ["1-urgent", "2-high"]}).drop("row_idx")
+
+
+@query("""WITH i AS (SELECT CAST(p_partkey AS VARCHAR) AS id, 'range' AS kind FROM part WHERE p_size > 45 UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'brand' FROM part WHERE p_retailprice > 1500),
+k AS (SELECT id, count(*) AS n, string_agg(DISTINCT kind, '; ' ORDER BY kind) AS why FROM i GROUP BY 1)
+SELECT CAST(p_partkey AS VARCHAR) AS property_id, CASE WHEN n IS NULL THEN 'clean' ELSE 'needs_review' END AS status, coalesce(n, 0) AS n_issues, why FROM part LEFT JOIN k ON id = CAST(p_partkey AS VARCHAR)""")
+def status_rollup(spark, d) -> DataFrame:
+    p = t(spark, d, "part")
+    i = checks.issues(p, "p_partkey", "part", {"p_size": (0, 45)}, more=[("p_retailprice", "brand", F.col("p_retailprice") > 1500)])
+    return checks.status(p.select(F.col("p_partkey").cast("string").alias("property_id")), i)
+
+
+@query("""SELECT source AS field, count(*) AS n, count(*) FILTER (lang = 'en') AS n_correct, count(*) FILTER (lang = 'en') / count(*) AS share FROM documents GROUP BY ROLLUP (source)""")
+def field_accuracy(spark, d) -> DataFrame:
+    docs = t(spark, d, "documents")
+    gold = docs.select(F.col("doc_id").alias("id"), F.col("source").alias("field"), F.lit("EN ").alias("value"))
+    pred = docs.select(F.col("doc_id").alias("id"), F.col("source").alias("field"), F.col("lang").alias("value"))
+    return merge.accuracy(gold, pred, coerce.field_correct(F.col("predicted"), F.col("gold")))
+
+
+@query("SELECT s_suppkey, regexp_replace(n_name, '[^A-Za-z0-9]+', '_', 'g') AS firm_key, 'R' || n_regionkey AS state_key FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def partition_keys(spark, d) -> DataFrame:
+    s, n = t(spark, d, "supplier", "nation")
+    j = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).withColumn("state", F.concat(F.lit("R"), F.col("n_regionkey")))
+    return sinks.with_partitions(j, "n_name", "state").select("s_suppkey", "firm_key", "state_key")
+
+
+@query("""SELECT c.column_name AS "column", CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS non_null FROM (SELECT unnest(['r_regionkey', 'r_name']) AS column_name) c, (SELECT count(*) AS n FROM region)""")
+def data_dictionary(spark, d) -> DataFrame:
+    return sinks.dictionary(t(spark, d, "region")).select("column", "n", "non_null")
+
+
+@query("""SELECT row_number() OVER (ORDER BY lower(c_name) NULLS LAST, c_custkey) AS number, c_custkey, c_name FROM customer ORDER BY 1 LIMIT 25""")
+def roster(spark, d) -> DataFrame:
+    """A report of 25 lines: top rows by a distributed sort, numbered afterwards."""
+    top = t(spark, d, "customer").orderBy(F.lower("c_name").asc_nulls_last(), "c_custkey").limit(25)
+    return top.select(F.row_number().over(Window.orderBy(F.lower("c_name").asc_nulls_last(), "c_custkey")).cast("long").alias("number"), "c_custkey", "c_name")
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
