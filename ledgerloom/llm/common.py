@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -29,6 +30,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files and plans of finished steps now, not at its next periodic collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, prepare
+from .common import columns, prepare, tidy
 
 
 class Forest:
@@ -73,6 +73,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             if jumped.where("moved").isEmpty():
                 break
         levels.append(parents)
+        tidy(e.sparkSession)
         x = parents.select("u", F.col("p").alias("pu"))
         y = parents.select(F.col("u").alias("w"), F.col("p").alias("pv"))
         rest = e.join(x, "u").join(y, F.col("v") == F.col("w"), "left").select("pu", F.coalesce("pv", "v").alias("pv")).where("pu <> pv")
