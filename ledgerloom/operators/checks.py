@@ -62,7 +62,7 @@ def system_issues(systems: DataFrame) -> DataFrame:
 
 
 def component_issues(components: DataFrame) -> DataFrame:
-    physics = [("rul_years", "physics", F.col("rul_years") > F.col("eul_years"))]
+    physics = [("rul_years", "physics", F.col("rul_years") > F.col("eul_years"))] if {"rul_years", "eul_years"} <= set(components.columns) else []
     return issues(components, "property_id", "components", R.COMPONENT_BOUNDS, {"subcategory": [*R.SUBCATEGORIES, R.OTHER], "table": [*R.NEAR_TERM, "reserve"]}, more=physics)
 
 
