@@ -126,18 +126,19 @@ class Model:
         return self.langs[k], float(1 - out[k] / (self.size * len(own)))
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE) -> DataFrame:
-    """The documents with lang_pred and lang_score beside their own columns."""
+def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", size: int = PROFILE, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+    """The documents with two more columns, pred and score; columns of these names are replaced."""
     prepare(docs.sparkSession)
     model = Model(profiles, size)
 
-    @F.pandas_udf("struct<lang_pred string, lang_score double>")
+    @F.pandas_udf("struct<p string, s double>")
     def identify(texts):
         import pandas as pd
 
-        return pd.DataFrame([model.predict(t if isinstance(t, str) else None) for t in texts], columns=["lang_pred", "lang_score"])
+        return pd.DataFrame([model.predict(t if isinstance(t, str) else None) for t in texts], columns=["p", "s"])
 
-    return docs.withColumn("__lang", identify(F.col(text))).select(*docs.columns, "__lang.lang_pred", "__lang.lang_score")
+    rest = [c for c in docs.columns if c not in (pred, score)]
+    return docs.withColumn("__lang", identify(F.col(text))).select(*rest, F.col("__lang.p").alias(pred), F.col("__lang.s").alias(score))
 
 
 def held_out():
