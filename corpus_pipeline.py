@@ -21,8 +21,8 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.predict(docs, langid.learn(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.predict(docs, langid.learn(docs), pred="__pred", score="__score")
+    return found.where((F.col("__pred") != "und") & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
