@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from .common import columns, prepare, tidy
 
 
+#: Up to so many edges (a few MB, counted first) one task's union-find replaces the rounds, whose cost is then mere latency.
+FEW = 200_000
+
+
 class Forest:
     """Union-find whose roots are the smallest members."""
 
@@ -46,7 +50,7 @@ def _contract(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     forest = Forest()
 
     def stars() -> pa.RecordBatch:
-        rows = [(x, r) for x in forest.parent if (r := forest.find(x)) != x]
+        rows = [(x, r) for x in list(forest.parent) if (r := forest.find(x)) != x]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=pa.int64()) for i in (0, 1)], names=["u", "v"])
 
     for batch in it:
@@ -58,11 +62,22 @@ def _contract(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
+def _whole(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forest = Forest()
+    for batch in it:
+        for a, b in zip(*columns(batch, "u", "v"), strict=True):
+            forest.union(a, b)
+    rows = [(x, r) for x in list(forest.parent) if (r := forest.find(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=pa.int64()) for i in (0, 1)], names=["node", "component"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node reachable) for each node that isn't itself the smallest of its component."""
     prepare(edges.sparkSession)
     e = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v")
     e = e.mapInArrow(_contract, "u long, v long").distinct().checkpoint()
+    if e.count() <= FEW:
+        return e.coalesce(1).mapInArrow(_whole, "node long, component long")
     levels: list[DataFrame] = []
     while not e.isEmpty():
         parents = e.groupBy("u").agg(F.min("v").alias("p")).checkpoint()
