@@ -68,6 +68,23 @@ def test_ngram_join(docs, empty):
     assert ngram_join.keep_one(docs).columns == docs.columns
 
 
+def test_ngram_join_of_large_families(spark):
+    """Chains whose last document is held against the first and links the second as well, with and without the product of families."""
+    words = [[f"g{k}n{i}" for i in range(40)] for k in range(100)]
+    texts = [" ".join(w[a : a + 31]) for w in words for a in (0, 6, 3)]
+    sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in map(str.split, texts)]
+    link = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert all(link(sets[k + 2], sets[k]) and link(sets[k + 2], sets[k + 1]) and not link(sets[k], sets[k + 1]) for k in range(0, 300, 3))
+    before = ngram_join.FAMILY
+    try:
+        for family in (before, 2):
+            ngram_join.FAMILY = family
+            got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+            assert got == {i: i - i % 3 for i in range(300)}
+    finally:
+        ngram_join.FAMILY = before
+
+
 def test_ngram_bounds_lose_no_link():
     """Random linked pairs share a key, with any set of frequent n-grams left out."""
     r = np.random.default_rng(0)
