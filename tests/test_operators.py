@@ -82,6 +82,16 @@ def test_grounding(spark):
     assert sorted((r.field, r.found) for r in grounding.numbers_present(values, pages.limit(1)).collect()) == [("x", True), ("y", False)]
 
 
+def test_snippets_with_other_spacing(spark):
+    items = ["the unit cost of each roof membrane is listed", "one two three four five", "1 2 3 4 5", "too few words", "àvec dès accents Été même ici"]
+    texts = ["x the unitcost of ea-\nch roof mem brane is listed y", "zone two three four fives", "(0.1-2 345)", "too few words", "avec des accents ete meme ici", "the unit cost of one two three", None, ""]
+    squashed = lambda x: "".join(c for c in x.lower().translate(str.maketrans("àèéê", "aeee")) if c.isascii() and c.isalnum())
+    want = {(i, k) for i, x in enumerate(texts) if x for k, s in enumerate(items) if len(s.split()) >= 5 and squashed(s) in squashed(x)}
+    assert {(0, 0), (1, 1), (2, 2), (4, 4)} == want
+    frames = (spark.createDataFrame(list(enumerate(x)), f"{n} long, text string") for x, n in ((texts, "doc_id"), (items, "item_id")))
+    assert sorted(map(tuple, grounding.snippet_hits(*frames, "doc_id", "item_id").collect())) == sorted(want)
+
+
 def test_profile(spark):
     text = "EUL RUL unit cost " + "$1,000 " * 12 + "2020 2021 2022 2023"
     assert profile.compose([0, 0, 0, 5, 0, 0, 3], 2, 5) == ([0, 1], [2, 3, 4], [6])
