@@ -25,8 +25,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     have = sc.environment.get("PYTHONPATH", "")
     if ROOT not in have.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, have) if x)
+    sc.environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")  # freed memory of workers goes back to the system
+    sc.environment.setdefault("MALLOC_ARENA_MAX", "2")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints-{os.getpid()}")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or f"/tmp/checkpoints-{os.getpid()}")
     return spark
 
 
@@ -53,7 +58,7 @@ def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
-def small(it: Iterator[pa.RecordBatch], text: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def small(it: Iterator[pa.RecordBatch], text: str = "text", most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about so many bytes of text, so that arrays made of them stay small."""
     for batch in it:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -71,36 +76,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of byte words, the same in every process; remembers a bounded number of words."""
+#: ASCII white space, and bytes with A-Z in lower case.
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+LOWER = np.arange(256, dtype=np.int64) + 32 * np.isin(np.arange(256), range(0x41, 0x5B))
+PLACES = 64
+_at_place = mix(np.arange(256 * PLACES, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
-    def __init__(self, bound: int = 250_000):
-        import xxhash
 
-        self.bound, self.of = bound, xxhash.xxh3_64_intdigest
-        self.known: dict[bytes, int] = {}
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in lower case (A-Z), text after text, and where each text's begin (with the end).
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, of = self.known, self.of
-        if len(known) > self.bound:
-            known.clear()
-        get = known.get
-        out = list(map(get, words))
-        if None in out:
-            for w in set(words).difference(known):
-                known[w] = of(w)
-            out = list(map(known.__getitem__, words))
-        return np.array(out, dtype=np.uint64)
-
-
-_worker: list[WordHashes] = []
-
-
-def worker_hashes() -> WordHashes:
-    """One memory of word hashes for a worker process, for functions that are called once a group."""
-    if not _worker:
-        _worker.append(WordHashes())
-    return _worker[0]
+    The hash of a word is the sum of one random number for each byte at its place in the word, mixed with its length.
+    """
+    coded = [t.encode() if t else b"" for t in texts]
+    buf = np.frombuffer(b"\n".join(coded) + b"\n", dtype=np.uint8)
+    space = SPACE[buf]
+    edge = np.flatnonzero(np.diff(space, prepend=True))
+    start, end = edge[::2], edge[1::2]
+    length = end - start
+    code = LOWER[buf[~space]]
+    first = np.cumsum(length) - length
+    place = np.arange(len(code)) - np.repeat(first, length)
+    value = _at_place[(np.minimum(place, PLACES - 1) << 8) | code]
+    if len(far := np.flatnonzero(place >= PLACES)):
+        value[far] = mix(((place[far] << 8) | code[far]).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    h = mix(np.add.reduceat(value, first) + length.astype(np.uint64) * MIX1) if len(first) else np.zeros(0, dtype=np.uint64)
+    begin = np.cumsum([0, *(len(c) + 1 for c in coded)])
+    return h, np.searchsorted(start, begin)
 
 
 def shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
@@ -115,6 +117,22 @@ def shingles(h: np.ndarray, n: int = 5) -> np.ndarray:
     return x
 
 
+def sequences(texts: list[str | None], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all texts, text after text, and where each text's begin (with the end). One pass over all bytes."""
+    h, first = word_hashes(texts)
+    lengths = np.diff(first)
+    counts = np.where(lengths >= n, lengths - n + 1, np.minimum(lengths, 1))
+    at = np.append(0, np.cumsum(counts))
+    out = np.zeros(int(at[-1]), dtype=np.uint64)
+    long_ = np.where(lengths >= n, counts, 0)
+    if long_.any():
+        run = np.arange(int(long_.sum())) - np.repeat(np.append(0, np.cumsum(long_)[:-1]), long_)
+        out[np.repeat(at[:-1], long_) + run] = shingles(h, n)[np.repeat(first[:-1], long_) + run]
+    for i in np.flatnonzero((lengths > 0) & (lengths < n)).tolist():
+        out[at[i]] = shingles(h[first[i] : first[i + 1]], n)[0]
+    return out, at
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for r in rows:

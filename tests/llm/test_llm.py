@@ -69,20 +69,32 @@ def test_ngram_join(docs, empty):
 
 
 def test_ngram_join_of_large_families(spark):
-    """Chains whose last document is held against the first and links the second as well, with and without the product of families."""
+    """Chains whose last document is held against the first and links the second as well."""
     words = [[f"g{k}n{i}" for i in range(40)] for k in range(100)]
     texts = [" ".join(w[a : a + 31]) for w in words for a in (0, 6, 3)]
     sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in map(str.split, texts)]
     link = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
     assert all(link(sets[k + 2], sets[k]) and link(sets[k + 2], sets[k + 1]) and not link(sets[k], sets[k + 1]) for k in range(0, 300, 3))
-    before = ngram_join.FAMILY
-    try:
-        for family in (before, 2):
-            ngram_join.FAMILY = family
-            got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-            assert got == {i: i - i % 3 for i in range(300)}
-    finally:
-        ngram_join.FAMILY = before
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 3 for i in range(300)}
+
+
+def test_ngram_join_of_a_long_chain(spark):
+    """One family in which each document shares blocks with its neighbours only, which is held together block by block, against brute force."""
+    r = random.Random(8)
+    at, texts = 0, []
+    for _ in range(500):
+        texts.append(" ".join(f"c{at + i}" for i in range(60)))
+        at += r.choice([5, 7, 8, 7])
+    r.shuffle(texts)
+    sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in map(str.split, texts)]
+    forest = components.Forest()
+    for i in range(500):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                forest.union(i, j)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: forest.find(i) for i in range(500)}
 
 
 def test_ngram_bounds_lose_no_link():
@@ -105,9 +117,59 @@ def test_ngram_bounds_lose_no_link():
                 assert set(keys[owners == 0].tolist()) & set(keys[owners == 1].tolist())
 
 
-def test_product_skips_what_is_connected():
-    sets = [np.arange(10), np.arange(10), np.arange(1, 11), np.arange(50, 60)]
-    assert sorted(map(sorted, ngram_join.product([0, 1, 2, 3], sets, [0] * 4, [0, 0, 2, 3]))) == [[0, 2]]
+def test_sketches_lose_no_link():
+    """Sketches of several lengths against the sets: they bound the difference, and the product joins what links join."""
+    r = np.random.default_rng(4)
+    base = r.integers(0, 2**63, 600).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[: 600 - k], r.integers(0, 2**63, e).astype(np.uint64)])) for k in (0, 40, 90, 110) for e in (0, 20, 60, 100)]
+    sets += [np.unique(r.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 14, 16, 17, 500)]
+    sizes, n = np.array([len(x) for x in sets]), len(sets)
+    links = {(i, j) for i in range(n) for j in range(i) if ngram_join.linked(len(np.intersect1d(sets[i], sets[j])), sizes[i], sizes[j])}
+    every, one = np.ones(n, dtype=bool), np.arange(n) % 3 == 0
+    differ = lambda x, y: int(np.bitwise_count(np.frombuffer(x, np.uint8) ^ np.frombuffer(y, np.uint8)).sum())
+    assert all(differ(ngram_join.sketch(sets[i]), ngram_join.sketch(sets[j])) <= len(np.setxor1d(sets[i], sets[j])) for i in range(n) for j in range(i) if len(ngram_join.sketch(sets[i])) == len(ngram_join.sketch(sets[j])))
+
+    def closed(pairs, component):
+        forest = components.Forest()
+        for i, c in enumerate(component):
+            forest.union(n + c, i)
+        for i, j in pairs:
+            forest.union(i, j)
+        return [forest.find(i) for i in range(n)]
+
+    for component in (list(range(n)), [i % 7 for i in range(n)], [0] * n):
+        for asks in (every, one):
+            got = ngram_join.product(list(range(n)), sets, asks, every, np.array(component))
+            assert closed(got, component) == closed([x for x in links if asks[x[0]] or asks[x[1]]], component)
+            assert all((max(x), min(x)) in links for x in got) and len(got) < len(set(component))
+
+
+def test_ngram_join_of_a_large_block(spark):
+    """5,000 documents of one block, most of them linked with nothing, against brute force, in one task and in tiles."""
+    r = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for i in range(5000):
+        own = [*base]
+        for at in r.choice(60, 1 if i % 10 == 0 else 5, replace=False).tolist():
+            own[at] = f"e{r.integers(0, 1 << 40)}"
+        texts.append(" ".join(own))
+    sets = ngram_join.Sets(texts)
+    column = np.unique(sets.all, return_inverse=True)[1]
+    forest, sizes = components.Forest(), sets.sizes
+    by = np.argsort(column, kind="stable")
+    owner, start = np.repeat(np.arange(5000), sizes)[by], np.append(0, np.cumsum(np.bincount(column)))
+    for i in range(5000):
+        overlap = np.bincount(np.concatenate([owner[start[c] : start[c + 1]] for c in column[sets.at[i] : sets.at[i + 1]]]), minlength=5000)
+        for j in np.flatnonzero(ngram_join.linked(overlap, sizes[i], sizes)).tolist():
+            forest.union(i, j)
+    before = ngram_join.ASK_BYTES, ngram_join.WIDE_BYTES
+    try:
+        ngram_join.ASK_BYTES, ngram_join.WIDE_BYTES = 1 << 18, 1 << 20
+        got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    finally:
+        ngram_join.ASK_BYTES, ngram_join.WIDE_BYTES = before
+    assert got == {i: forest.find(i) for i in range(5000)}
 
 
 def test_components(spark):
