@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, langid, mixing, ngram_join, pii
-from ledgerloom.llm.common import prepare
+from ledgerloom.llm.common import free, prepare
 
 #: Texts whose best profile fits worse than this are no text of a learned language. Running prose scores above 0.35.
 LEAST_SCORE = 0.15
@@ -21,24 +21,30 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.predict(docs, langid.learn(docs), pred="__pred", score="__score")
-    return found.where((F.col("__pred") != "und") & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    """Documents without a learned language go: no letters, or prose that fits no profile. Null and empty texts go."""
+    pred, score = free(docs, "pred"), free(docs, "score")
+    found = langid.predict(docs, langid.learn(docs), pred=pred, score=score)
+    return found.where((F.col(f"`{pred}`") != "und") & (F.col(f"`{score}`") >= LEAST_SCORE)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest doc_id stays. Empty texts are in no group and stay."""
     return ngram_join.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows stay; spans in their texts become <KIND>, and n_chars follows. Null and empty texts stay as they are."""
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate says. Texts without words weigh nothing and follow their source's rate."""
     return mixing.apply(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digests and ids of every row that came in, repeats included. Null and empty texts have no tokens."""
     import public_tokenizers
 
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)

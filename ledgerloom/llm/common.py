@@ -41,6 +41,14 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, or a longer one that none of the columns has (whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

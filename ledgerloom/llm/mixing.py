@@ -41,25 +41,30 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP)
     return s.withColumn("target", F.when(F.col("__full"), F.col("__cap").cast("double")).otherwise(share * F.col("__w"))).select("source", "source_size", "target")
 
 
-def decide(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
-    """The documents with size, source_size, target and copies beside their own columns (prefixed with mix_)."""
+def decide(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: int = SEED, prefix: str = "mix") -> DataFrame:
+    """The documents with size, source_size, target and copies beside their own columns; prefix sets the new names apart."""
     prepare(docs.sparkSession)
-    sized = docs.withColumn("mix_size", n_words(F.col("text")))
-    per_source = sized.groupBy("source").agg(F.sum("mix_size").alias("source_size"))
-    plan = targets(per_source, weights, cap).select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target")).checkpoint()
+    size, total, target = (F.col(f"`{prefix}_{x}`") for x in ("size", "source_size", "target"))
+    sized = docs.withColumn(f"{prefix}_size", n_words(F.col("text")))
+    per_source = sized.groupBy("source").agg(F.sum(size).alias("source_size"))
+    plan = targets(per_source, weights, cap).select(F.col("source").alias(f"{prefix}_source"), F.col("source_size").alias(f"{prefix}_source_size"), F.col("target").alias(f"{prefix}_target")).checkpoint()
     side = F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
-    rate = F.coalesce(F.try_divide(F.col("mix_target"), F.col("mix_source_size")), F.lit(0.0))
+    rate = F.coalesce(F.try_divide(target, total), F.lit(0.0))
     u = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(16**13)
     return (
-        sized.join(side, sized["source"].eqNullSafe(side["mix_source"]), "left").drop("mix_source")
-        .withColumn("mix_copies", (F.floor(rate) + (u < rate - F.floor(rate)).cast("int")).cast("int"))
+        sized.join(side, sized["source"].eqNullSafe(side[f"{prefix}_source"]), "left").drop(f"{prefix}_source")
+        .withColumn(f"{prefix}_copies", (F.floor(rate) + (u < rate - F.floor(rate)).cast("int")).cast("int"))
     )
 
 
 def apply(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with its own columns."""
-    taken = decide(docs, **how).where("mix_copies > 0")
-    return taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)
+    """The mix itself: each document as often as it is taken, with its own columns, whatever their names."""
+    prefix = "mix"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    copies = F.col(f"`{prefix}_copies`")
+    taken = decide(docs, prefix=prefix, **how).where(copies > 0)
+    return taken.withColumn(f"{prefix}_copy", F.explode(F.sequence(F.lit(1), copies))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

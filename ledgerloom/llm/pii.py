@@ -10,18 +10,25 @@ in the CONTEXT characters around it; spans of ACCEPT and more are kept. Email, i
 are valid: cards pass Luhn, parts of an ip are at most 255, phones have 8 to 15 digits. IBANs must pass mod-97. Social
 security numbers, local telephone numbers and long hexadecimal secrets need a word near by.
 
-Null and empty texts have no spans. Repeated rows are scanned alike.
+Offsets are running sums, made in groups of GROUP and groups of those (a fold would copy its result in each step); context
+and the pieces of a redacted text are cut from blocks of BLOCK characters. So a text of n matches costs about n steps.
+
+Null and empty texts have no spans. Repeated rows are scanned alike. A column with the name of the result is replaced, all
+others stay, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import free, table
 
 MARK, OTHER = "\ue000", "\ue001"
 ACCEPT, CHECKED, NEARBY, CONTEXT = 0.5, 0.5, 0.4, 40
+BLOCK, GROUP, LEVELS = 256, 16, 4  # characters of a block; elements of a group; groups of groups
 #: Kind, pattern for Java, the same for RE2, base score, words near by.
 KINDS = [
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 0.5, ""),
@@ -65,62 +72,116 @@ def _valid(kind: str, m: Column) -> tuple[Column, Column]:
     return yes, no
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, which is computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(a: Column, op: Callable[[Column, Column], Column], levels: int = LEVELS) -> Column:
+    """For each element of an array of integers, op over those before it (0 for the first)."""
+    over = lambda x, start, n: F.aggregate(F.slice(x, start, n), F.lit(0), op)
+    if not levels:
+        return F.transform(a, lambda _, i: over(a, F.lit(1), i))
+    last = F.greatest(F.ceil(F.size(a) / GROUP).cast("int") - 1, F.lit(0))
+    groups = F.transform(F.sequence(F.lit(0), last), lambda g: over(a, g * GROUP + 1, F.lit(GROUP)))
+    within = lambda i: over(a, i - i % GROUP + 1, i % GROUP)
+    full = lambda before: F.transform(a, lambda _, i: op(F.get(before, F.floor(i / GROUP).cast("int")), within(i)))
+    return F.when(F.size(a) <= GROUP, F.transform(a, lambda _, i: within(i))).otherwise(let(let(groups, lambda g: running(g, op, levels - 1)), full))
+
+
+def add(x: Column, y: Column) -> Column:
+    return x + y
+
+
+def most(x: Column, y: Column) -> Column:
+    return F.greatest(x, y)
+
+
+def blocks(text: Column) -> Column:
+    """The text as an array of pieces of BLOCK characters."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters start to end (exclusive) of the text that the blocks make up."""
+    first = F.floor(F.greatest(start, F.lit(0)) / BLOCK).cast("int")
+    some = F.array_join(F.slice(pieces, first + 1, F.floor(F.greatest(end, F.lit(0)) / BLOCK).cast("int") - first + 1), "")
+    return F.substr(some, F.greatest(start, F.lit(0)) - first * BLOCK + 1, F.greatest(end - F.greatest(start, F.lit(0)), F.lit(0)))
+
+
 def proposals(text: Column, pattern: str) -> Column:
     """array<struct<m, start, end>> of the pattern's matches, leftmost first and not overlapping."""
     parts = F.split(F.regexp_replace(F.translate(text, MARK, OTHER), pattern, f"{MARK}$0{MARK}"), MARK)
-    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), F.array().cast("array<struct<m string, start int, end int>>").alias("out"))
+    none = F.array().cast("array<struct<m string, start int, end int>>")
+
+    def placed(p: Column) -> Column:
+        of = lambda starts: F.transform(F.sequence(F.lit(1), F.size(p) - 1, F.lit(2)), lambda i: F.struct(F.get(p, i).alias("m"), F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(F.get(p, i))).alias("end")))
+        return F.when(F.size(p) > 1, let(let(F.transform(p, lambda x: F.length(x)), lambda n: running(n, add)), of)).otherwise(none)
 
-    def step(acc: Column, p: Column) -> Column:
-        end = acc["at"] + F.length(p)
-        one = F.array(F.struct(p.alias("m"), acc["at"].alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), (~acc["odd"]).alias("odd"), F.when(acc["odd"], F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    return let(parts, placed)
 
-    return F.aggregate(parts, zero, step, lambda acc: acc["out"])
+
+SPAN = "struct<kind string, start int, end int, score double>"
 
 
 def spans(text: Column) -> Column:
     """array<struct<kind, start, end, score>> by kind as listed, then start."""
     t = F.coalesce(text, F.lit(""))
-    empty = F.array().cast("array<struct<kind string, start int, end int, score double>>")
+    empty = F.array().cast(f"array<{SPAN}>")
 
     def of(kind: str, pattern: str, base: float, words: str) -> Column:
-        def scored(p: Column) -> Column:
+        def scored(p: Column, pieces: Column | None) -> Column:
             valid, checked = _valid(kind, p["m"])
             score = F.lit(base) + F.when(checked, CHECKED).otherwise(0.0)
             if words:
-                near = F.substr(t, F.greatest(p["start"] - CONTEXT, F.lit(0)) + 1, p["end"] - p["start"] + 2 * CONTEXT)
+                start = F.greatest(p["start"] - CONTEXT, F.lit(0))
+                near = cut(pieces, start, start + p["end"] - p["start"] + 2 * CONTEXT)
                 score = score + F.when(near.rlike(f"(?i){words}"), NEARBY).otherwise(0.0)
             return F.struct(F.lit(kind).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), F.when(valid, score).otherwise(F.lit(0.0)).alias("score"))
 
-        found = F.filter(F.transform(proposals(t, pattern), scored), lambda s: s["score"] >= ACCEPT)
+        all_ = lambda pieces: F.filter(F.transform(proposals(t, pattern), lambda p: scored(p, pieces)), lambda s: s["score"] >= ACCEPT)
+        found = F.when(t.rlike(pattern), let(blocks(t), all_)).otherwise(empty) if words else all_(None)
         needed = t.contains(NEEDS[kind]) if kind in NEEDS else t.rlike("[0-9]")
         return F.when(needed, found).otherwise(empty)
 
     return F.concat(*(of(k, p, b, w) for k, p, _, b, w in KINDS))
 
 
+def _without_inner(every: Column) -> Column:
+    """Spans without local telephone numbers inside a phone. A phone begins with +, which a local number never holds, so only phones that begin before it matter."""
+    place = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"), (s["kind"] == "tel").alias("tel"))
+    both = F.array_sort(F.transform(F.filter(every, lambda s: s["kind"].isin("phone", "tel")), place))
+
+    def outer(x: Column) -> Column:
+        ends = F.transform(x, lambda s: F.when(s["tel"], 0).otherwise(s["end"]))
+        kept = lambda before: F.filter(F.transform(x, lambda s, i: F.when(s["tel"] & (s["start"] >= F.get(before, i)), F.struct(F.lit("tel").alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))), lambda s: s.isNotNull())
+        return let(let(ends, lambda e: running(e, most)), kept)
+
+    kinds = [k for k, *_ in KINDS]
+    before, after = kinds[: kinds.index("tel")], kinds[kinds.index("tel") + 1 :]
+    return F.concat(F.filter(every, lambda s: s["kind"].isin(*before)), let(both, outer), F.filter(every, lambda s: s["kind"].isin(*after)))
+
+
 def find(docs: DataFrame, text: str = "text", out: str = "pii_spans") -> DataFrame:
-    """The documents with their spans. A local telephone number inside a phone span is that phone."""
+    """The documents with their spans in the column out. A local telephone number inside a phone span is that phone."""
     every = F.col(out)
-    phones = F.filter(every, lambda s: s["kind"] == "phone")
-    own = F.filter(every, lambda s: (s["kind"] != "tel") | ~F.exists(phones, lambda p: (p["start"] < s["end"]) & (s["start"] < p["end"])))
-    return docs.withColumn(out, spans(F.col(text))).withColumn(out, F.when(F.exists(every, lambda s: s["kind"] == "tel"), own).otherwise(every))
+    return docs.withColumn(out, spans(F.col(text))).withColumn(out, F.when(F.exists(every, lambda s: s["kind"] == "tel"), _without_inner(every)).otherwise(every))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with each span replaced by <KIND>; overlapping spans become one. Columns stay as they were."""
-    found = find(docs, text, "__spans")
-    t = F.col(text)
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        tag = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        out = F.concat(acc["out"], F.substr(t, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), tag)
-        return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), out.alias("out")))
-
-    ordered = F.array_sort(F.transform(F.col("__spans"), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("__neg"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    cut = F.aggregate(ordered, zero, step, lambda acc: F.concat(acc["out"], F.substr(t, acc["at"] + 1)))
-    return found.withColumn(text, F.when(F.size("__spans") > 0, cut).otherwise(t)).select(*docs.columns)
+    out = free(docs, "spans")
+    found, t = find(docs, text, out), F.col(text)
+    ordered = F.array_sort(F.transform(F.col(out), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("neg"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def text_of(pieces: Column) -> Column:
+        tag = lambda s: F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+        done = lambda x, at: F.transform(x, lambda s, i: F.when(s["end"] > F.get(at, i), F.concat(cut(pieces, F.get(at, i), s["start"]), tag(s))).otherwise(""))
+        every = lambda x: let(let(F.transform(x, lambda s: s["end"]), lambda e: running(e, most)), lambda at: F.array_join(done(x, at), ""))
+        return let(ordered, lambda x: F.concat(every(x), cut(pieces, F.array_max(F.transform(x, lambda s: s["end"])), F.length(t))))
+
+    clean = F.when(F.size(out) > 0, let(blocks(t), text_of)).otherwise(t)
+    return found.withColumn(text, clean).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _listed(s: Column) -> Column:

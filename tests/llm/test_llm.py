@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -220,6 +221,25 @@ def test_mixing(docs, empty):
     assert mixing.apply(docs).columns == docs.columns and mixing.apply(empty).count() == 0
 
 
+def test_texts_full_of_numbers_cost_linear_time(spark):
+    began = time.perf_counter()
+    for unit, kind, n in (("12 a,", "card", 0), ("+1 437 555 0689, ", "phone", 58_823)):
+        d = spark.createDataFrame([(1, unit * (1_000_000 // len(unit)))], "doc_id long, text string")
+        assert pii.find(d).select(F.size(F.filter("pii_spans", lambda s: s["kind"] == kind)).alias("n")).first().n == n
+        assert pii.redact(d).first().text.count("<") == n
+    assert time.perf_counter() - began < 60
+
+
+def test_names_that_clash(spark):
+    schema = "doc_id long, text string, source string, mix_size int, MIX_source int, spans string, pii_spans string, pred string, `a.b` int"
+    d = spark.createDataFrame([(1, "mail a@b.co", "s", 5, 6, "x", "y", "z", 7), (2, "ok ok", None, 5, 6, "x", "y", "z", 7)], schema)
+    rest = lambda r: tuple(r)[3:]
+    assert pii.redact(d).columns == d.columns and {r.text: rest(r) for r in pii.redact(d).collect()} == {"mail <EMAIL>": (5, 6, "x", "y", "z", 7), "ok ok": (5, 6, "x", "y", "z", 7)}
+    out = mixing.apply(d)
+    assert out.columns == d.columns and {rest(r) for r in out.collect()} == {(5, 6, "x", "y", "z", 7)}
+    assert mixing.apply(d.limit(0)).count() == 0 and pii.redact(d.limit(0)).count() == 0
+
+
 def test_bpe(docs, empty, spark):
     import public_tokenizers as P
     import tiktoken
