@@ -339,6 +339,40 @@ def test_substrings(docs, empty):
         assert h[a : b + 1].min() == value == h[at] and b - a + 1 >= 20 and (a in (0, 150) or h[a - 1] < value) and (b in (149, 299) or h[b + 1] < value)
 
 
+def test_near_passages_against_brute_force(spark):
+    """Passages of 50 to 150 words with up to three words changed or inserted, in pairs and in clusters: all pairs of texts are verified."""
+    r = random.Random(3)
+    words = lambda n: [f"w{r.randrange(20_000)}" for _ in range(n)]
+    texts = []
+    for size in (50, 70, 100, 150):
+        for copies in (2, 2, 2, 2, 5, 20):
+            p = words(size)
+            for _ in range(copies):
+                q = list(p)
+                for at in sorted(r.sample(range(size), r.randrange(4)), reverse=True):
+                    q[at : at + r.randrange(2)] = [f"z{r.randrange(10**9)}"]
+                texts.append(" ".join(words(r.randrange(0, 150)) + q + words(r.randrange(0, 150))))
+    texts += [" ".join(words(200)) for _ in range(40)] + [texts[0], texts[0], None, ""]
+    n = len(texts)
+    s = [substring_dedup.sequence(t) for t in texts]
+    pairs = {(i, j) for i in range(n) for j in range(n) if i != j and len(np.intersect1d(s[i], s[j])) > 30 and substring_dedup.passages(s[i], s[j])}
+    want = {i for p in pairs for i in p}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [sorted(map(str, substring_dedup.find(rows.repartition(k)).collect())) for k in (1, 7)]
+    assert found[0] == found[1]
+    got = {x.doc_id for x in substring_dedup.find(rows).select("doc_id").collect()}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_longest_stretch():
+    r = np.random.default_rng(1)
+    for _ in range(200):
+        x = r.integers(-3, 3, r.integers(1, 12))
+        s, e = substring_dedup.longest(x)
+        sums = [(j - i, i, j) for i in range(len(x)) for j in range(i, len(x) + 1) if x[i:j].sum() >= 0]
+        assert e - s == max(sums)[0] and x[s:e].sum() >= 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
