@@ -2,8 +2,8 @@
 
 The markup is read once, left to right, into flat blocks: text between block-level tags. A block has its word count and
 link density, those of its neighbours, whether it stands in article-like markup or in markup that pages use for what
-isn't the article (nav, header, footer, aside, form, ... or a class, id or role that says so), and whether it's a
-heading. A CART tree, grown here from LABELLED by Gini impurity, says which blocks are content. Scripts, styles,
+isn't the article (nav, header, footer, aside, form, ... or a class, id or role that says so; of html and body, and of what
+surrounds an article or main, class names say nothing), and whether it's a heading. An a without href is no link. A CART tree, grown here from labelled blocks by Gini impurity, says which blocks are content. Scripts, styles,
 comments and the document's head never become blocks. Character references are decoded; inside a block white space
 becomes one space; content blocks are joined in page order by one space.
 
@@ -26,25 +26,38 @@ from .common import columns, prepare, table
 
 #: Element names of HTML by their use here.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = frozenset("script style noscript template svg math iframe object canvas head title textarea".split())
+HIDDEN = frozenset("script style noscript template svg iframe object canvas head title textarea".split())
 CHROME = frozenset("nav header footer aside form menu button select option dialog fieldset legend label".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id and role that mark markup as not the article, and as the article.
 BAD = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|sidebar|side|footer|header|masthead|breadcrumb\w*|cookie\w*|consent|notice\w*|alert|popup|modal|newsletter|subscribe|signup|share|social|related|recommend\w*|comment\w*|reply|replies|disqus|widget|toolbar|pagination|pager|copyright|legal|login|search|navigation|complementary|contentinfo|hidden|skip)(?:[\s_-]|$)", re.I)
+#: Names such as has-sidebar or no-comments say what the page has, not what the element is.
+MENTION = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|not|with|without)[_-][^\s]*", re.I)
 GOOD = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content|main|body|text)(?:[\s_-]|$)", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<(script|style|noscript|template|svg|textarea|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 ATTR = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HREF = re.compile(r"\shref\s*=", re.I)
 UNSEEN = re.compile(r"\shidden(?:[\s=>/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 FEATURES = ("words", "link_density", "prev_words", "prev_link_density", "next_words", "next_link_density", "chrome", "article", "heading", "page_has_article")
-#: Labelled blocks, in the order of FEATURES; the last value is 1 for content.
+#: Blocks of nine pages of the pages table, in page order: part (n: navigation, x: advert, a: article, f: footer), words, link density, heading.
+PAGES = (
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 8, 0.0, 0), ("a", 12, 0.0, 1), ("a", 31, 0.0, 0), ("a", 23, 0.0, 0), ("a", 35, 0.0, 0), ("a", 35, 0.0, 0), ("a", 73, 0.0, 0), ("a", 23, 0.0, 0), ("a", 23, 0.0, 0), ("a", 15, 0.0, 0), ("a", 43, 0.0, 0), ("f", 9, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 9, 0.0, 0), ("a", 6, 0.0, 1), ("a", 107, 0.0, 0), ("a", 7, 0.0, 0), ("f", 15, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 10, 0.0, 0), ("a", 4, 0.0, 1), ("a", 4, 0.0, 0), ("a", 91, 0.0, 0), ("a", 20, 0.0, 0), ("f", 8, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 9, 0.0, 0), ("a", 8, 0.0, 1), ("a", 8, 0.0, 0), ("a", 1, 0.0, 0), ("a", 38, 0.0, 0), ("a", 122, 0.0, 0), ("a", 14, 0.0, 0), ("a", 1, 0.0, 0), ("a", 115, 0.0, 0), ("a", 2, 0.0, 0), ("a", 93, 0.0, 0), ("f", 12, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 5, 0.0, 0), ("a", 10, 0.0, 1), ("a", 61, 0.0, 0), ("a", 16, 0.0, 0), ("a", 43, 0.0, 0), ("a", 95, 0.0, 0), ("a", 13, 0.0, 0), ("a", 30, 0.0, 0), ("a", 18, 0.0, 0), ("a", 50, 0.0, 0), ("a", 29, 0.0, 0), ("f", 15, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 11, 0.0, 0), ("a", 11, 0.0, 1), ("a", 69, 0.0, 0), ("f", 11, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 6, 0.0, 0), ("a", 11, 0.0, 1), ("a", 12, 0.0, 0), ("a", 130, 0.0, 0), ("a", 7, 0.0, 0), ("a", 28, 0.0, 0), ("a", 29, 0.0, 0), ("a", 40, 0.0, 0), ("a", 32, 0.0, 0), ("a", 46, 0.0, 0), ("f", 16, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 8, 0.0, 0), ("a", 7, 0.0, 1), ("a", 7, 0.0, 0), ("a", 56, 0.0, 0), ("a", 19, 0.0, 0), ("a", 38, 0.0, 0), ("a", 10, 0.0, 0), ("a", 89, 0.0, 0), ("a", 25, 0.0, 0), ("a", 13, 0.0, 0), ("a", 3, 0.0, 0), ("f", 12, 0.0, 0)),
+    (("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("n", 1, 1.0, 0), ("x", 12, 0.0, 0), ("a", 8, 0.0, 1), ("a", 9, 0.0, 0), ("a", 34, 0.0, 0), ("a", 51, 0.0, 0), ("a", 15, 0.0, 0), ("f", 8, 0.0, 0)),
+)
+#: Blocks for cases that those pages lack, in the order of FEATURES; the last value is 1 for content.
 LABELLED = (
-    # page with article markup: blocks inside it, long and short, with any neighbours
-    (9, 0.0, 12, 0.0, 60, 0.0, 0, 1, 1, 1, 1), (60, 0.0, 9, 0.0, 45, 0.0, 0, 1, 0, 1, 1), (1, 0.0, 60, 0.0, 50, 0.0, 0, 1, 0, 1, 1), (2, 0.0, 9, 0.0, 8, 0.0, 0, 1, 0, 1, 1),
-    (45, 0.2, 60, 0.0, 8, 0.0, 0, 1, 0, 1, 1), (7, 0.0, 40, 0.0, 45, 0.0, 0, 1, 1, 1, 1), (3, 0.0, 1, 1.0, 0, 0.0, 0, 1, 0, 1, 1), (25, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0, 1, 1),
-    (140, 0.0, 2, 0.0, 6, 0.0, 0, 1, 0, 1, 1), (12, 0.3, 80, 0.0, 90, 0.0, 0, 1, 0, 1, 1), (5, 0.0, 5, 0.0, 5, 0.0, 0, 1, 0, 1, 1), (33, 0.0, 0, 0.0, 25, 0.4, 0, 1, 0, 1, 1),
-    (18, 0.0, 14, 0.0, 3, 1.0, 0, 1, 0, 1, 1), (6, 0.0, 90, 0.0, 20, 0.0, 0, 1, 0, 1, 1), (70, 0.1, 1, 1.0, 2, 0.5, 0, 1, 0, 1, 1), (22, 0.0, 22, 0.0, 22, 0.0, 0, 1, 0, 1, 1),
+    # inside the article: text with links, between text and beside lists
+    (45, 0.2, 60, 0.0, 8, 0.0, 0, 1, 0, 1, 1), (12, 0.3, 80, 0.0, 90, 0.0, 0, 1, 0, 1, 1), (70, 0.1, 1, 1.0, 2, 0.5, 0, 1, 0, 1, 1), (30, 0.4, 20, 0.0, 25, 0.0, 0, 1, 0, 1, 1),
+    (5, 0.4, 40, 0.0, 45, 0.0, 0, 1, 0, 1, 1), (25, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0, 1, 1), (18, 0.0, 14, 0.0, 3, 1.0, 0, 1, 0, 1, 1), (9, 0.45, 12, 0.0, 60, 0.0, 0, 1, 1, 1, 1),
     # inside it, but lists of links
     (3, 1.0, 45, 0.0, 3, 1.0, 0, 1, 0, 1, 0), (5, 0.9, 3, 1.0, 4, 1.0, 0, 1, 0, 1, 0), (15, 1.0, 40, 0.0, 40, 0.0, 0, 1, 0, 1, 0), (8, 0.8, 5, 0.9, 20, 0.0, 0, 1, 0, 1, 0),
     # inside it, but in forms, asides, comments
@@ -52,20 +65,35 @@ LABELLED = (
     # beside it
     (14, 0.0, 0, 0.0, 9, 0.0, 0, 0, 0, 1, 0), (40, 0.0, 30, 0.0, 4, 1.0, 0, 0, 0, 1, 0), (6, 0.0, 1, 1.0, 9, 0.0, 0, 0, 0, 1, 0), (90, 0.0, 40, 0.0, 8, 0.0, 0, 0, 0, 1, 0),
     (4, 0.0, 1, 1.0, 80, 0.0, 0, 0, 1, 1, 0), (25, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 1, 0), (3, 1.0, 4, 1.0, 25, 0.0, 0, 0, 0, 1, 0), (55, 0.2, 20, 0.0, 30, 0.0, 0, 0, 0, 1, 0),
-    # navigation, headers, footers, adverts, notices
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0, 1, 0), (1, 1.0, 1, 1.0, 12, 0.0, 1, 0, 0, 1, 0), (12, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0, 1, 0), (4, 0.0, 1, 1.0, 80, 0.0, 1, 0, 0, 1, 0),
-    (8, 0.0, 45, 0.0, 0, 0.0, 1, 0, 0, 1, 0), (30, 0.0, 45, 0.0, 0, 0.0, 1, 0, 0, 1, 0), (5, 0.0, 90, 0.0, 0, 0.0, 1, 0, 0, 0, 0), (28, 0.0, 2, 1.0, 20, 0.0, 1, 0, 0, 0, 0),
-    (2, 0.0, 0, 0.0, 30, 0.0, 1, 0, 1, 0, 0), (60, 0.0, 30, 0.0, 5, 0.0, 1, 0, 0, 0, 0),
     # page without article markup: running text
     (35, 0.0, 5, 0.0, 50, 0.0, 0, 0, 0, 0, 1), (50, 0.05, 35, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (90, 0.0, 50, 0.0, 2, 1.0, 0, 0, 0, 0, 1), (6, 0.0, 2, 1.0, 35, 0.0, 0, 0, 1, 0, 1),
-    (3, 0.0, 50, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (18, 0.0, 28, 0.0, 30, 0.0, 0, 0, 0, 0, 1), (16, 0.0, 0, 0.0, 4, 0.0, 0, 0, 0, 0, 1), (4, 0.0, 16, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
-    (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (22, 0.3, 60, 0.0, 10, 0.0, 0, 0, 0, 0, 1), (9, 0.0, 20, 0.0, 20, 0.0, 0, 0, 0, 0, 1), (1, 0.0, 12, 0.0, 15, 0.0, 0, 0, 0, 0, 1),
+    (3, 0.0, 50, 0.0, 40, 0.0, 0, 0, 0, 0, 1), (18, 0.0, 28, 0.0, 30, 0.0, 0, 0, 0, 0, 1), (16, 0.0, 0, 0.0, 4, 0.0, 0, 0, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (400, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (22, 0.3, 60, 0.0, 10, 0.0, 0, 0, 0, 0, 1), (9, 0.0, 20, 0.0, 20, 0.0, 0, 0, 0, 0, 1), (1, 0.0, 12, 0.0, 15, 0.0, 0, 0, 0, 0, 1),
+    # ... which ends with a paragraph, where no footer follows
+    (40, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (25, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (33, 0.0, 8, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (90, 0.0, 5, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (60, 0.1, 120, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (150, 0.0, 22, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
     # ... and its link lists
     (2, 1.0, 2, 1.0, 35, 0.0, 0, 0, 0, 0, 0), (6, 0.9, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (20, 0.6, 90, 0.0, 20, 0.6, 0, 0, 0, 0, 0), (1, 1.0, 40, 0.0, 40, 0.0, 0, 0, 0, 0, 0),
 )
 
 
-def grow(rows: tuple, depth: int = 6) -> tuple | int:
+def labelled() -> tuple:
+    """The training rows. Each of PAGES is read as it is, without its footer, as the article alone, and as it is but without telling markup.
+
+    So what the markup says counts where there is markup, and counts and densities of a block and its neighbours where there is none.
+    """
+    rows = []
+    for page in PAGES:
+        for parts, readings in (("nxaf", (1, 0)), ("nxa", (1,)), ("a", (1,))):
+            some = [b for b in page if b[0] in parts]
+            for marked in readings:
+                near = [(0, 0.0), *((words, density) for _, words, density, _ in some), (0, 0.0)]
+                for i, (part, words, density, heading) in enumerate(some):
+                    flags = (int(part != "a"), int(part == "a"), heading, 1) if marked else (0, 0, heading, 0)
+                    rows.append((words, density, *near[i], *near[i + 2], *flags, int(part == "a")))
+    return (*rows, *LABELLED)
+
+
+def grow(rows: tuple, depth: int = 8) -> tuple | int:
     """A CART tree: (feature, bound, tree up to the bound, tree above it), or a class."""
     ones = sum(r[-1] for r in rows)
     if depth == 0 or ones in (0, len(rows)):
@@ -85,7 +113,9 @@ def grow(rows: tuple, depth: int = 6) -> tuple | int:
 
 @lru_cache(1)
 def tree() -> tuple | int:
-    return grow(LABELLED)
+    """The first question is whether the page marks its article at all; below it, the tree grows on the rows of either kind."""
+    ask, rows = FEATURES.index("page_has_article"), labelled()
+    return ask, 0.5, grow(tuple(r for r in rows if not r[ask])), grow(tuple(r for r in rows if r[ask]))
 
 
 def decide(node: tuple | int, x: tuple) -> int:
@@ -100,7 +130,7 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
     stack: list[tuple[str, bool, bool, bool]] = []  # name, chrome, article, unseen: what holds inside the element
     text: list[str] = []
     linked = 0
-    in_link = False
+    link = -1  # open elements around an open link
     chrome = article = unseen = heading = False
 
     def close() -> None:
@@ -116,7 +146,7 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
         nonlocal linked
         if s and not unseen:
             text.append(s)
-            if in_link:
+            if link >= 0:
                 linked += len(s.split())
 
     at = 0
@@ -133,7 +163,7 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
                 text.append(" ")
                 continue
             if name == "a":
-                in_link = True
+                link = len(stack) if HREF.search(m[4]) else -1
                 continue
             if name in VOID:
                 if name == "hr":
@@ -144,20 +174,26 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
             if name == "p" or name == "li" or name == "option":  # these end one of their own kind that is open
                 _pop(stack, name, ("ul", "ol", "menu", "select") if name != "p" else ("div", "article", "section", "td", "li", "blockquote"))
             close()
-            marks = " ".join(a or b or c for a, b, c in ATTR.findall(m[4])) if m[4] else ""
+            whole = name in ("html", "body")  # what their classes say holds for no single block
+            marks = MENTION.sub(" ", " ".join(a or b or c for a, b, c in ATTR.findall(m[4]))) if m[4] and not whole else ""
             top = stack[-1] if stack else ("", False, False, False)
-            good = name in ("article", "main") or bool(marks and GOOD.search(marks))
+            named = name in ("article", "main")
+            good = named or bool(marks and GOOD.search(marks))
             bad = name in CHROME and not (name == "header" and top[2]) or bool(marks and BAD.search(marks))
-            stack.append((name, top[1] or bad, top[2] or good and not bad, top[3] or name in HIDDEN or bool(m[4] and UNSEEN.search(m[4]))))
+            # an article inside an element that only its class names sets apart is none of that
+            inside = top[1] and not (named and not bad and not any(x[0] in CHROME for x in stack))
+            stack.append((name, inside or bad, top[2] or good and not bad, top[3] or name in HIDDEN or bool(m[4] and UNSEEN.search(m[4]))))
         else:
             if name == "a":
-                in_link = False
+                link = -1
                 continue
             if not any(x[0] == name for x in stack):
                 continue
             close()
             while stack.pop()[0] != name:
                 pass
+            if link > len(stack):
+                link = -1
         _, chrome, article, unseen = stack[-1] if stack else ("", False, False, False)
         heading = any(x[0] in HEADING for x in stack[-3:])
     if at < len(page):

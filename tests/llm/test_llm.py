@@ -304,6 +304,55 @@ def test_html(spark):
     assert got[2].text == got[3].text == "" and got[4].n_chars == 50_000 * 5 - 1
 
 
+def test_html_markup_that_misleads():
+    p = "<p>" + "word " * 40 + "</p>"
+    text = "word " * 39 + "word"
+    comment = '<section class="comments"><article class="comment"><p>nice post here</p></article></section>'
+    for page, want in (
+        (f'<body class="has-sidebar"><article>{p}</article>', text), (f'<article class="post no-comments">{p}</article>', text), (f'<div class="content-with-sidebar"><article>{p}</article></div>', text),
+        (f"<article><a name=x><p>one two three four</p>{p}", f"one two three four {text}"), (f"<article><p>a <a>b c d</a></p>{p}</article>", f"a b c d {text}"),
+        (f"<article><p>x <math><mi>y</mi></math> z</p>{p}</article>", f"x y z {text}"), (f"<article>{p}{comment}</article>", text), (p + p, f"{text} {text}"), ("", ""),
+    ):
+        assert html_text.main_text(page) == want
+
+    def features(node):
+        return {node[0]} | features(node[2]) | features(node[3]) if isinstance(node, tuple) else set()
+
+    assert {html_text.FEATURES.index(f) for f in ("prev_words", "next_words", "link_density", "words")} <= features(html_text.tree())
+    some = [tuple(r) for r in html_text.labelled()]
+    assert sum(html_text.decide(html_text.tree(), r[:-1]) == r[-1] for r in some) >= 0.95 * len(some)
+
+
+def test_html_against_a_parser(spark):
+    """The article of each page as html.parser reads it; without its class names and elements, blocks next to links and at the end are told apart by their neighbours."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.words = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.words.append(" ")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            self.words.append(" ")
+
+        def handle_data(self, data):
+            if self.depth:
+                self.words.append(data)
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in html_text.query(spark, "/root/testdata/sf0.01").collect()}
+    for r in rows.collect():
+        reader = Article()
+        reader.feed(r.html)
+        assert got[r.page_id].text.split() == "".join(reader.words).split() and got[r.page_id].n_chars == len(got[r.page_id].text)
+    assert html_text.extract(rows.limit(0)).count() == 0
+
+
 def test_embeddings(spark):
     r = np.random.default_rng(1)
     base = r.normal(size=(40, 8))
