@@ -19,6 +19,9 @@ ROOT = str(Path(__file__).resolve().parents[2])
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package, and give checkpoint() a folder only where none is set."""
     sc = spark.sparkContext
@@ -27,6 +30,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, have) if x)
     sc.environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")  # freed memory of workers goes back to the system
     sc.environment.setdefault("MALLOC_ARENA_MAX", "2")
+    if spark.conf.get(BATCH) == "67108864b":  # the default: 64 MB of texts, held several times over on both sides
+        spark.conf.set(BATCH, str(4 << 20))
     if not sc.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not sc.master.startswith("local"):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns, prepare, table
+from .common import columns, free, prepare, table
 
 PROFILE = 400  # n-grams of a profile
 FLUSH = 400_000  # distinct n-grams held by a worker before it emits its counts
@@ -131,14 +131,14 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text",
     prepare(docs.sparkSession)
     model = Model(profiles, size)
 
-    @F.pandas_udf("struct<p string, s double>")
-    def identify(texts):
-        import pandas as pd
-
-        return pd.DataFrame([model.predict(t if isinstance(t, str) else None) for t in texts], columns=["p", "s"])
+    @F.arrow_udf("struct<p string, s double>")
+    def identify(texts: pa.Array) -> pa.Array:
+        found = [model.predict(t) for t in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([p for p, _ in found], type=pa.string()), pa.array([s for _, s in found], type=pa.float64())], names=["p", "s"])
 
     rest = [c for c in docs.columns if c not in (pred, score)]
-    return docs.withColumn("__lang", identify(F.col(text))).select(*rest, F.col("__lang.p").alias(pred), F.col("__lang.s").alias(score))
+    both = free(docs, "lang_both")
+    return docs.withColumn(both, identify(F.col(text))).select(*(F.col(f"`{c}`") for c in rest), F.col(f"{both}.p").alias(pred), F.col(f"{both}.s").alias(score))
 
 
 def held_out():
