@@ -9,6 +9,7 @@ from ledgerloom import registries as R
 
 from .text import lookup, non_value, number, number_range
 
+# How ratings and their parts are written.
 SPAN = r"(?iu)\s+(?:to|-|–|/)\s+|\s*/\s*"
 QUALIFIER = r"\s*\([^)]*\)\s*$"
 LOCATIVE = r"(?iu)\s+(?:at|in|on|near|along|around|throughout|beneath|behind|adjacent to|for|of)\s+\S.*$"
@@ -34,7 +35,7 @@ def _spanned(part: Column, allowed: list[str], synonyms: dict[str, str]) -> Colu
 
 def category_value(x: Column, allowed: list[str] = R.CONDITIONS, synonyms: dict[str, str] = R.CONDITION_SYNONYMS) -> Column:
     """A value of several parts joined by ;, each trimmed, stripped, spread over a span and spelled as the vocabulary does."""
-    parts = F.filter(F.transform(F.split(x, ";"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(x, ";"), lambda p: F.trim(p)), lambda p: p != "")
     parts = F.flatten(F.transform(parts, lambda p: _spanned(_stripped(p, allowed, synonyms), allowed, synonyms)))
     spelled = F.transform(parts, lambda p: F.coalesce(lookup(synonyms, F.lower(F.trim(p))), F.lower(F.trim(p))))
     return F.nullif(F.array_join(spelled, "; "), F.lit(""))

@@ -14,14 +14,6 @@ from .text import lookup
 Rules = Sequence[tuple[str, str]]
 
 
-def stemmed(rules: Rules) -> Rules:
-    """Rules of stems: from a word's start, with what letters follow."""
-    return [(label, rf"(?iu)\b(?:{stems})\w*") for label, stems in rules]
-
-
-CATEGORIES, SUBCATEGORIES = stemmed(R.CATEGORY_RULES), stemmed(R.SUBCATEGORY_RULES)
-
-
 def first_match(text: Column, rules: Rules, default: str | None = R.OTHER) -> Column:
     out = None
     for label, pattern in rules:
@@ -39,11 +31,11 @@ def explain(text: Column, rules: Rules, default: str | None = R.OTHER) -> Column
 
 
 def category(text: Column) -> Column:
-    return first_match(text, CATEGORIES)
+    return first_match(text, R.CATEGORY_RULES)
 
 
 def subcategory(text: Column) -> Column:
-    return first_match(text, SUBCATEGORIES)
+    return first_match(text, R.SUBCATEGORY_RULES)
 
 
 def subcategory_of_component(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
 
+# Numbers and ranges.
 NUMBER = r"(?<![\d-])-?\d[\d,]*(?:\.\d+)?"
 RANGE = r"(?iu)(\d[\d,]*(?:\.\d+)?)\s*(?:-|–|—|to|through|thru|and)\s*(\d[\d,]*(?:\.\d+)?)"
 #: Letters with marks and what they fold to; other marks are dropped by squash().
@@ -69,7 +70,7 @@ def squash(x: Column) -> Column:
 
 
 def fragments(x: Column) -> Column:
-    return F.filter(F.transform(F.split(x, r"\.{2,}|…"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(x, r"\.{2,}|…"), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def contains_ordered(hay: Column, needles: Column) -> Column:

@@ -24,22 +24,24 @@ def numbers_present(values: DataFrame, texts: DataFrame, key: str = "doc_id") ->
     return j.select(key, "field", "value", F.exists(number_forms(F.col("value")), lambda f: hay.contains(squash(f))).alias("found"))
 
 
-def snippet_hits(texts: DataFrame, snippets: DataFrame, key: str, item: str, words: int = 5) -> DataFrame:
-    """(key, item) where a snippet of so many words and more stands in a text, on squashed text. Both sides are cut after
-    squashing, at each of the letters a and e: what lies between two cuts of the snippet lies between two cuts of any text
-    that holds it. One run of such pieces must be shared before the texts are searched, so that no cross join is made.
-    Snippets of too few pieces are looked up by their first characters, as many as they have words at least."""
-    gram = lambda c: F.when(F.size(c) >= words, F.transform(F.sequence(F.lit(0), F.size(c) - words), lambda i: F.concat_ws("|", F.slice(c, i + 1, words)))).otherwise(F.array().cast("array<string>"))
+def snippet_hits(texts: DataFrame, snippets: DataFrame, key: str, item: str, pieces: int = 5) -> DataFrame:
+    """(key, item) where a snippet stands in a text, on squashed text. Both sides are cut after squashing, at each of the
+    letters a and e: what lies between two cuts of the snippet lies between two cuts of any text that holds it. A run of
+    such pieces must be shared before the texts are searched, so that no cross join is made. Snippets with too few pieces
+    are looked up by their first characters, as many as pieces or as they have. Snippets without letters and digits are
+    nowhere."""
     # what is cut is bound once by a transform over an array of one, or each slice would cut the text again
-    grams = lambda x, at: F.array_distinct(F.get(F.transform(F.array(F.split(squash(x), at)), gram), F.lit(0)))
-    n = F.size(F.filter(F.split(F.regexp_replace(F.translate(F.lower(F.col("text")), ACCENTED, PLAIN), r"[^a-z0-9\s]", ""), r"\s+"), lambda w: w != ""))
-    cut = snippets.where(n >= words).select(item, F.split(squash(F.col("text")), "[ae]").alias("w"), F.split(squash(F.col("text")), "").alias("chars"))
-    run = lambda c, start: F.concat_ws("|", F.slice(c, start, words)).alias("g")
-    few = F.size("w") < words + 2
-    pairs = texts.select(key, F.explode(grams(F.col("text"), "[ae]")).alias("g")).join(cut.where(~few).select(item, run("w", 2)), "g").select(key, item)
-    brief = cut.where(few).select(item, run("chars", 1))
-    if not brief.isEmpty():
-        pairs = pairs.union(texts.select(key, F.explode(grams(F.col("text"), "")).alias("g")).join(brief, "g").select(key, item))
+    gram = lambda n: lambda c: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.concat_ws("|", F.slice(c, i + 1, n)))).otherwise(F.array().cast("array<string>"))
+    grams = lambda x, at, n: F.array_distinct(F.get(F.transform(F.array(F.split(squash(x), at)), gram(n)), F.lit(0)))
+    s = squash(F.col("text"))
+    cut = snippets.where(F.length(s) > 0).select(item, F.split(s, "[ae]").alias("w"), F.split(s, "").alias("chars"))
+    run = lambda c, start, n: F.concat_ws("|", F.slice(c, start, n)).alias("g")
+    few = F.size("w") < pieces + 2
+    pairs = texts.select(key, F.explode(grams(F.col("text"), "[ae]", pieces)).alias("g")).join(cut.where(~few).select(item, run("w", 2, pieces)), "g").select(key, item)
+    for n in range(1, pieces + 1):
+        brief = cut.where(few & (F.least(F.size("chars"), F.lit(pieces)) == n)).select(item, run("chars", 1, n))
+        if not brief.isEmpty():
+            pairs = pairs.union(texts.select(key, F.explode(grams(F.col("text"), "", n)).alias("g")).join(brief, "g").select(key, item))
     pairs = pairs.distinct()
     j = pairs.join(texts.select(key, "text"), key).join(snippets.select(item, F.col("text").alias("snippet")), item)
     return j.where(squash(F.col("text")).contains(squash(F.col("snippet")))).select(key, item)

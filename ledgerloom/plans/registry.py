@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerloom import registries as R
 from ledgerloom.functions import coerce, rules, text
 from ledgerloom.operators import checks, dedupe, grid, grounding, merge, profile, reconcile
 from ledgerloom.sources import sinks
@@ -116,27 +117,54 @@ def explain_match(spark, d) -> DataFrame:
     return t(spark, d, "part").select("p_partkey", rules.explain(F.col("p_name"), NAME_RULES).alias("e")).select("p_partkey", "e.*")
 
 
-@query()
+#: Phrases for the ordered rules, one of each kind and the exceptions that they make; a part gets one by its key.
+PHRASES = [
+    "ADA path of travel", "fire alarm panel", "fireplace", "elevator modernization", "roof shingles", "rooftop unit", "asphalt seal coat", "boiler", "domestic water heater", "switchgear",
+    "window caulking", "foundation settlement", "pool and spa", "spandex", "irrigation", "carpet in corridors", "refrigerator", "structural engineer report", "nothing of note", "laundry room", "range", "arrange",
+]
+
+
+def _portable(pattern: str) -> str:
+    """A rule for an engine without lookahead, for texts in which fireplace, rooftop and spa before letters are blanked first."""
+    return pattern.replace("(?iu)", "(?i)").replace("(?!place)", "").replace("(?!top)", "").replace("(?![a-z])", "")
+
+
+def _rule_sql(rules_: list, text_: str) -> str:
+    return _case([(k, _portable(p)) for k, p in rules_], text_, R.OTHER)
+
+
+_of_component = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in R.CATEGORY_TO_SUBCATEGORY.items())
+_blank = "regexp_replace(x, '(?i)fireplace|rooftop|spa[a-z]+', '#', 'g')"
+
+
+@query(f"""WITH a AS (SELECT p_partkey, p_name || ', ' || list_extract({PHRASES!r}, CAST(p_partkey % {len(PHRASES)} AS INT) + 1) AS x FROM part),
+b AS (SELECT p_partkey, {_rule_sql(R.CATEGORY_RULES, f"CASE WHEN x ILIKE '%rooftop%' THEN replace(x, 'rooftop', 'rtu') ELSE {_blank} END")} AS category, {_rule_sql(R.SUBCATEGORY_RULES, f"CASE WHEN x ILIKE '%rooftop%' THEN replace(x, 'rooftop', 'rtu') ELSE {_blank} END")} AS subcategory FROM a)
+SELECT *, CASE category {_of_component} END AS of_component FROM b""")
 def subcategories(spark, d) -> DataFrame:
-    return t(spark, d, "part").select("p_partkey", rules.category(F.col("p_name")).alias("category"), rules.subcategory(F.col("p_name")).alias("subcategory"), rules.subcategory_of_component(F.col("p_name")).alias("of_component"))
+    x = F.concat("p_name", F.lit(", "), F.element_at(F.array(*map(F.lit, PHRASES)), (F.col("p_partkey") % len(PHRASES)).cast("int") + 1))
+    return t(spark, d, "part").select("p_partkey", rules.category(x).alias("category"), rules.subcategory(x).alias("subcategory"), rules.subcategory_of_component(x).alias("of_component"))
 
 
 SQUASH = "regexp_replace(translate(lower({0}), 'àáâãäåèéêëìíîïòóôõöùúûüýÿñçšž', 'aaaaaaeeeeiiiiooooouuuuyyncsz'), '[^a-z0-9]', '', 'g')"
 
 
-@query(f"""SELECT doc_id, item_id FROM documents d JOIN benchmark b ON len(list_filter(regexp_split_to_array(b.text, '\\s+'), lambda x: {SQUASH.format('x')} <> '')) >= 5
-  AND contains({SQUASH.format('d.text')}, {SQUASH.format('b.text')})""")
+@query(f"""SELECT doc_id, item_id FROM documents d JOIN benchmark b ON {SQUASH.format('b.text')} <> '' AND contains({SQUASH.format('d.text')}, {SQUASH.format('b.text')})""")
 def ground_snippets(spark, d) -> DataFrame:
     docs, b = t(spark, d, "documents", "benchmark")
     return grounding.snippet_hits(docs.select("doc_id", "text"), b.select("item_id", "text"), "doc_id", "item_id")
 
 
-@query("""SELECT item_id, len(f) AS n_fragments, len(f) > 0 AS in_order FROM (
-  SELECT item_id, list_filter(list_transform(regexp_split_to_array(text, '\\.{2,}|…'), lambda x: trim(x)), lambda x: x <> '') AS f FROM benchmark)""")
+@query(r"""WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+') AS w FROM documents), f AS (
+  SELECT doc_id, text, array_to_string(w[1:2], ' ') AS a, array_to_string(w[len(w)-1:len(w)], ' ') AS b FROM w WHERE len(w) >= 8), s AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN b ELSE a END AS a, CASE WHEN doc_id % 3 = 0 THEN a ELSE b END AS b FROM f)
+SELECT doc_id, CAST(2 AS BIGINT) AS n_fragments, strpos(text, a) > 0 AND strpos(substr(text, strpos(text, a) + length(a)), b) > 0 AS in_order FROM s""")
 def ordered_fragments(spark, d) -> DataFrame:
-    b = t(spark, d, "benchmark")
-    f = text.fragments(F.col("text"))
-    return b.select("item_id", F.size(f).cast("long").alias("n_fragments"), text.contains_ordered(F.col("text"), f).alias("in_order"))
+    w = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    docs = t(spark, d, "documents").select("doc_id", "text", w.alias("w")).where(F.size("w") >= 8)
+    first, last = F.concat_ws(" ", F.slice("w", 1, 2)), F.concat_ws(" ", F.slice("w", -2, 2))
+    turned = F.col("doc_id") % 3 == 0
+    f = text.fragments(F.when(turned, F.concat(last, F.lit(" ... "), first)).otherwise(F.concat(first, F.lit(" … "), last)))
+    return docs.select("doc_id", F.size(f).cast("long").alias("n_fragments"), text.contains_ordered(F.col("text"), f).alias("in_order"))
 
 
 @query("""WITH k AS (SELECT sha256(text) AS h, min(doc_id) AS kept, count(*) AS copies FROM documents GROUP BY 1)
@@ -163,12 +191,12 @@ def dup_flag(spark, d) -> DataFrame:
     return dedupe.duplicate_flag(t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h")), "h").select("doc_id", "duplicated")
 
 
-@query("""WITH h AS (SELECT DISTINCT s_nationkey AS nation, p_type FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_quantity > 49),
+@query("""WITH h AS (SELECT DISTINCT s_nationkey AS nation, p_type FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
 a AS (SELECT unnest(['PROMO', 'STANDARD', 'ECONOMY', 'SMALL', 'MEDIUM', 'LARGE', 'NONE']) AS member), n AS (SELECT DISTINCT nation FROM h)
 SELECT n.nation, member FROM n CROSS JOIN a WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.nation = n.nation AND h.p_type = member)""")
 def grid_missing(spark, d) -> DataFrame:
     s, p, li = t(spark, d, "supplier", "part", "lineitem")
-    have = li.where("l_quantity > 49").join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("s_nationkey").alias("nation"), "p_type")
+    have = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("s_nationkey").alias("nation"), "p_type")
     return checks.missing_members(have, "nation", "p_type", [*TYPES, "NONE"])
 
 
@@ -215,10 +243,15 @@ def parse_json_map(spark, d) -> DataFrame:
 PAGE_MARKS = ["license", "copyright", "example.com", "the ", "token"]
 
 
-@query("SELECT page_id, " + " + ".join(f"CASE WHEN contains(lower(html), '{m}') OR contains(regexp_replace(lower(html), '[^a-z0-9]', '', 'g'), '{''.join(c for c in m if c.isalnum())}') THEN 1 ELSE 0 END" for m in PAGE_MARKS) + """ AS markers,
-  CASE WHEN len(regexp_extract_all(html, '\\$\\s?[0-9,]+')) >= 12 THEN 2 WHEN len(regexp_extract_all(html, '\\$\\s?[0-9,]+')) >= 6 THEN 1 ELSE 0 END AS structure FROM pages""")
+#: The pages have no amounts: each gets up to 14 of them, and every other one a run of years.
+AMOUNTS = "html || repeat(' $1,000', CAST(page_id % 15 AS INT)) || CASE WHEN page_id % 2 = 0 THEN ' 2020 2021 2022 2023' ELSE ' 2020 2021 2022' END"
+
+
+@query(f"WITH p AS (SELECT page_id, {AMOUNTS} AS html FROM pages) SELECT page_id, " + " + ".join(f"CASE WHEN contains(lower(html), '{m}') OR contains(regexp_replace(lower(html), '[^a-z0-9]', '', 'g'), '{''.join(c for c in m if c.isalnum())}') THEN 1 ELSE 0 END" for m in PAGE_MARKS) + r""" AS markers,
+  CASE WHEN len(regexp_extract_all(html, '\$\s?[0-9,]+')) >= 12 THEN 2 WHEN len(regexp_extract_all(html, '\$\s?[0-9,]+')) >= 6 THEN 1 ELSE 0 END
+    + CASE WHEN regexp_matches(html, '\b20[0-9][0-9]\b(?:\s+\b20[0-9][0-9]\b){3,}') THEN 2 ELSE 0 END AS structure FROM p""")
 def page_scores(spark, d) -> DataFrame:
-    p = t(spark, d, "pages")
+    p = t(spark, d, "pages").select("page_id", F.expr(AMOUNTS).alias("html"))
     low = F.lower("html")
     return p.select("page_id", profile.marker_hits(low, profile.plain(F.col("html")), PAGE_MARKS).alias("markers"), profile.structure_score(low).alias("structure"))
 
@@ -235,7 +268,14 @@ def page_profiles(spark, d) -> DataFrame:
     return profile.profile(pages, front=2, budget=6)
 
 
-@query()
+@query("""WITH s AS (SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS i, length(text) % 4 AS score, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+r AS (SELECT doc_id, i, n, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS k FROM s WHERE i >= 1 AND score >= 2),
+m AS (SELECT s.doc_id, s.i, min(r.k) AS near FROM s JOIN r ON r.doc_id = s.doc_id AND abs(r.i - s.i) <= 1 WHERE s.i >= 1 GROUP BY 1, 2),
+c AS (SELECT m.*, (SELECT count(*) FROM m x WHERE x.doc_id = m.doc_id AND x.near < m.near) AS before FROM m),
+t AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place FROM c WHERE before < 3) WHERE place <= 3)
+SELECT doc_id, list_sort(list_concat([0], coalesce((SELECT list(t.i) FROM t WHERE t.doc_id = d.doc_id), CAST([] AS INT[])))) AS pages,
+  coalesce((SELECT list(r.i ORDER BY r.k) FROM r WHERE r.doc_id = d.doc_id AND NOT EXISTS (SELECT 1 FROM t WHERE t.doc_id = r.doc_id AND t.i = r.i)), CAST([] AS INT[])) AS missed
+FROM (SELECT DISTINCT doc_id FROM s) d""")
 def page_selection(spark, d) -> DataFrame:
     pages = t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), (F.length("text") % 4).cast("int").alias("score"))
     return profile.select_pages(pages, front=1, budget=4)
@@ -264,10 +304,10 @@ def incremental_todo(spark, d) -> DataFrame:
     return dedupe.work_list(c.select("c_custkey"), done, "c_custkey", "s", F.lit("F"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_custkey IS NOT NULL)")
 def orphan_keys(spark, d) -> DataFrame:
     c, o = t(spark, d, "customer", "orders")
-    return dedupe.orphans(c.select("c_custkey"), o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    return dedupe.orphans(c.select("c_custkey"), o.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
 
 
 @query("""SELECT count(*) AS n_stamps, CAST(sum(n) AS BIGINT) AS n, bool_and(s = 'F') AS all_current, CASE WHEN bool_or(s = 'unversioned') THEN 'UNKNOWN' WHEN count(*) = 1 THEN 'UNIFORM' ELSE 'MIXED' END AS verdict
@@ -302,12 +342,12 @@ def arithmetic_rows(spark, d) -> DataFrame:
     return reconcile.row_arithmetic(j, "l_quantity", "p_retailprice", "l_extendedprice").agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
 
 
-@query("""WITH x AS (SELECT o_orderkey, year(l_shipdate) - year(o_orderdate) + 1 AS term, CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
-SELECT o_orderkey, CAST(sum(c) FILTER (term = 1) AS DOUBLE) AS year_1, CAST(sum(c) FILTER (term = 2) AS DOUBLE) AS year_2, CAST(sum(c) FILTER (term = 3) AS DOUBLE) AS year_3 FROM x GROUP BY 1""")
+@query("WITH x AS (SELECT o_orderkey, year(l_shipdate) - year(o_orderdate) + 1 AS term, CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey) SELECT o_orderkey, "
+    + ", ".join(f"CAST(sum(c) FILTER (term = {i}) AS DOUBLE) AS year_{i}" for i in range(1, R.YEARS + 1)) + " FROM x GROUP BY 1")
 def year_schedule_pivot(spark, d) -> DataFrame:
     o, li = t(spark, d, "orders", "lineitem")
     x = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", (F.year("l_shipdate") - F.year("o_orderdate") + 1).alias("term"), reconcile.money(F.col("l_extendedprice")).alias("c"))
-    return x.groupBy("o_orderkey").agg(*(F.sum(F.when(F.col("term") == i, F.col("c"))).cast("double").alias(f"year_{i}") for i in (1, 2, 3)))
+    return x.groupBy("o_orderkey").agg(*(F.sum(F.when(F.col("term") == i, F.col("c"))).cast("double").alias(f"year_{i}") for i in range(1, R.YEARS + 1)))
 
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS property_id, 'part' AS layer, 'p_size' AS field, 'range' AS kind, CAST(p_size AS VARCHAR) AS detail FROM part WHERE p_size < 5 OR p_size > 45")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,8 @@ from ledgerloom.functions.text import slug
 CELL = "struct<value:string, page:int, snippet:string, confidence:double>"
 RECORD = f"property map<string, {CELL}>, systems array<map<string, string>>, components array<map<string, string>>, _prompt_version string"
 
+BETWEEN = re.compile(r"[\s,]*")
+
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
     """path, stem, property_id, length of the files, without archive litter. Contents aren't read."""
@@ -47,30 +51,16 @@ def page_texts(spark: SparkSession, path: str, mark: str = "\f") -> DataFrame:
 
 
 def salvaged(text: str | None) -> Iterator[str]:
-    """The complete objects at the top of a (possibly truncated) JSON array."""
-    depth, start, quoted, escaped, seen = 0, 0, False, False, False
-    for i, c in enumerate(text or ""):
-        if not seen:
-            seen = c == "["
-        elif quoted:
-            if escaped:
-                escaped = False
-            elif c == "\\":
-                escaped = True
-            elif c == '"':
-                quoted = False
-        elif c == '"':
-            quoted = True
-        elif c == "{":
-            if depth == 0:
-                start = i
-            depth += 1
-        elif c == "}" and depth:
-            depth -= 1
-            if depth == 0:
-                yield text[start : i + 1]
-        elif c == "]" and depth == 0:
+    """The whole objects at the top of a JSON array that may be cut off: what a decoder reads, until it can't read on."""
+    text, read = text or "", json.JSONDecoder().raw_decode
+    at = text.find("[") + 1
+    while at and (gap := BETWEEN.match(text, at)).end() < len(text) and text[gap.end()] != "]":
+        try:
+            value, at = read(text, gap.end())
+        except json.JSONDecodeError:
             return
+        if isinstance(value, dict):
+            yield text[gap.end() : at]
 
 
 @udtf(returnType="pos int, object string")

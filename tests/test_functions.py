@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom import registries
 from ledgerloom.functions import coerce, rules, text
 from ledgerloom.sources.files import register, salvaged
 
@@ -40,7 +41,7 @@ def test_state(spark):
 def test_rules(spark):
     assert values(spark, ["Site Lighting", "Roof Drainage", "Storm Water Drainage", "", None], rules.subcategory) == ["site_improvements", "roofing", "site_improvements", "other", "other"]
     assert values(spark, ["Refrigerator", "rooftop unit", "FAÇADE", "fireplace"], rules.category) == ["appliances", "hvac", "envelope", "other"]
-    assert [tuple(x) for x in values(spark, ["new roofing", "zzz"], lambda c: rules.explain(c, rules.CATEGORIES))] == [("roofing", "roofing"), ("other", None)]
+    assert [tuple(x) for x in values(spark, ["new roofing", "zzz"], lambda c: rules.explain(c, registries.CATEGORY_RULES))] == [("roofing", "roofing"), ("other", None)]
 
 
 def test_snippets(spark):
@@ -71,3 +72,9 @@ def test_salvage(spark):
 def test_lenient_json(spark):
     got = values(spark, ['```json\n{"a": 1}\n```', 'so {"a": 2} it is', "none"], lambda c: text.lenient_json(c, "a int"))
     assert [r and r["a"] for r in got] == [1, 2, None]
+
+
+def test_parts_are_trimmed(spark):
+    assert values(spark, ["a b ... c", " x … y  ", "1 z 0 .. 0 q"], text.fragments) == [["a b", "c"], ["x", "y"], ["1 z 0", "0 q"]]
+    assert values(spark, ["one two three four"], lambda c: text.contains_ordered(c, text.fragments(F.lit("one two ... four")))) == [True]
+    assert values(spark, ["one two three four"], lambda c: text.contains_ordered(c, text.fragments(F.lit("four ... one two")))) == [False]
