@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
 from ledgerloom.functions import coerce, rules, text
-from ledgerloom.operators import checks, dedupe, grid, grounding, merge, profile, reconcile
+from ledgerloom.operators import checks, dedupe, grid, grounding, merge, profile, reconcile, rollup
 from ledgerloom.sources import sinks
 
 _queries: dict[str, Callable] = {}
@@ -396,6 +396,72 @@ def roster(spark, d) -> DataFrame:
     return top.select(F.row_number().over(Window.orderBy(F.lower("c_name").asc_nulls_last(), "c_custkey")).cast("long").alias("number"), "c_custkey", "c_name")
 
 
+STATUS = "CASE o_orderstatus WHEN 'F' THEN 'clean' WHEN 'O' THEN 'needs_review' WHEN 'P' THEN 'error' END"
+
+
+@query(f"SELECT o_orderkey, {STATUS} AS status FROM orders WHERE o_orderstatus = 'F'")
+def usable_records(spark, d) -> DataFrame:
+    return rollup.usable(t(spark, d, "orders").select("o_orderkey", F.expr(STATUS).alias("status")))
+
+
+@query(f"SELECT o_orderkey, {STATUS} AS status FROM orders WHERE o_orderstatus IN ('F', 'O')")
+def usable_or_flagged(spark, d) -> DataFrame:
+    return rollup.usable(t(spark, d, "orders").select("o_orderkey", F.expr(STATUS).alias("status")), include_flagged=True)
+
+
+@query("""SELECT doc_id, coalesce(lang = 'en', FALSE) AS assessed, coalesce(contains(source, 'a') OR contains(source, 'i'), FALSE) AS risky,
+  coalesce(regexp_matches(upper(substr(source, 1, 1)) || ': ' || source, '^[A-M]:'), FALSE) AS early FROM documents""")
+def flag_filters(spark, d) -> DataFrame:
+    x = t(spark, d, "documents").select("doc_id", (F.col("lang") == "en").alias("flag"), "source", F.concat(F.upper(F.substring("source", 1, 1)), F.lit(": "), "source").alias("layout"))
+    return x.select("doc_id", rollup.true("flag").alias("assessed"), rollup.any_flag("source", "a", "i").alias("risky"), rollup.layout_in("layout", "A-M").alias("early"))
+
+
+@query("SELECT o_orderkey, 'needs_review' AS status, 'ok' AS target_quality FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000")
+def review_roster(spark, d) -> DataFrame:
+    q = F.when(F.col("o_totalprice") > 100000, "ok").otherwise("does_not_tie").alias("target_quality")
+    return rollup.review_roster(t(spark, d, "orders").select("o_orderkey", F.expr(STATUS).alias("status"), q))
+
+
+@query("SELECT o_orderkey, o_custkey, c_mktsegment AS state, '7' AS prompt_version, CAST(NULL AS VARCHAR) AS model FROM orders LEFT JOIN customer ON c_custkey = o_custkey")
+def stamped_with_state(spark, d) -> DataFrame:
+    c, o = t(spark, d, "customer", "orders")
+    return rollup.stamped(rollup.with_state(o.select("o_orderkey", "o_custkey"), c.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("state")), "o_custkey"), prompt_version="7", model=None)
+
+
+@query("SELECT n_nationkey AS id, n_name AS name, c.c_name AS name_property FROM nation LEFT JOIN customer c ON c.c_custkey = n_nationkey")
+def manifest_roster(spark, d) -> DataFrame:
+    n, c = t(spark, d, "nation", "customer")
+    return rollup.roster(n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), "id")
+
+
+@query(f"""WITH a AS (SELECT unnest({[*TYPES, "NONE"]!r}) AS p_type), g AS (SELECT split_part(p_type, ' ', 1) AS p_type, l_orderkey, l_returnflag, l_extendedprice FROM lineitem JOIN part ON p_partkey = l_partkey),
+r AS (SELECT p_type, count(DISTINCT l_orderkey) FILTER (l_returnflag = 'R') AS n, CAST(sum(CAST(CASE WHEN l_returnflag <> 'N' THEN l_extendedprice ELSE 0 END AS DECIMAL(18,2))) AS DOUBLE) AS total FROM g GROUP BY 1)
+SELECT a.p_type, coalesce(n, 0) AS n_assessed, coalesce(total, 0) AS total FROM a LEFT JOIN r ON r.p_type = a.p_type""")
+def member_rollup(spark, d) -> DataFrame:
+    li, p = t(spark, d, "lineitem", "part")
+    g = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.split("p_type", " ")[0].alias("p_type"), "l_orderkey", F.when(F.col("l_returnflag") == "R", True).alias("assessed"), F.when(F.col("l_returnflag") != "N", F.col("l_extendedprice")).alias("amount"))
+    return rollup.per_member(g, "p_type", [*TYPES, "NONE"], "l_orderkey", "assessed", "amount")
+
+
+@query("""WITH i AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'systems[1]' ELSE 'components[' || CAST(o_orderkey % 7 + 1 AS VARCHAR) || '].total' END AS place FROM orders)
+SELECT i.o_orderkey, place, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 7 + 1 AS INT) END AS row_idx, l_returnflag FROM i LEFT JOIN lineitem l ON l.l_orderkey = i.o_orderkey AND l_linenumber = CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 7 + 1 END""")
+def located_issues(spark, d) -> DataFrame:
+    o, li = t(spark, d, "orders", "lineitem")
+    place = F.when(F.col("o_orderkey") % 5 == 0, "systems[1]").otherwise(F.concat(F.lit("components["), (F.col("o_orderkey") % 7 + 1).cast("string"), F.lit("].total")))
+    return rollup.located(o.select("o_orderkey", place.alias("place")), li.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "place", "l_linenumber", "l_returnflag")
+
+
+@query("""SELECT l_orderkey, l_linenumber, n FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INT) AS n, sum(CAST(l_quantity AS INT)) OVER (PARTITION BY l_orderkey)
+  - coalesce(sum(CAST(l_quantity AS INT)) OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM lineitem) WHERE rest <= 60""")
+def size_limit(spark, d) -> DataFrame:
+    return rollup.without_heaviest(t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("n")), "l_orderkey", "l_linenumber", "n", 60)
+
+
+@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 12")
+def sample_head(spark, d) -> DataFrame:
+    return rollup.head(t(spark, d, "documents").select("doc_id", "n_chars"), 12, F.col("n_chars").desc(), "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 
