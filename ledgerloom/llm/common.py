@@ -54,6 +54,12 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a step that is over, by Spark's own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -427,3 +427,31 @@ def test_pipeline(spark):
 
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 100
+
+
+def test_pipeline_stages_alone(spark, docs, empty):
+    """Each stage on nulls, empty and long texts, repeated rows and columns of its own names, against brute force; and on an empty table."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    more = docs.unionByName(docs.where("doc_id in (4, 13)")).withColumns({"pred": F.lit("p"), "score": F.lit(2.5), "spans": F.lit(1), "mix_size": F.lit("m")})
+    for name, stage in stages.items():
+        none = stage(spark, empty, "")
+        assert none.count() == 0 and (name == "token_ids" or none.columns == empty.columns)
+        if name != "token_ids":
+            assert stage(spark, more, "").columns == more.columns
+    texts = {i: t for i, t, *_ in documents()}
+    sets = shingle_sets()
+    gone = {j for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert sorted(r.doc_id for r in stages["near_duplicates"](spark, more, "").collect()) == sorted(i for i in [*texts, 4, 13] if i not in gone)
+    clean = stages["personal_data"](spark, more, "").collect()
+    assert sorted(r.doc_id for r in clean) == sorted([*texts, 4, 13]) and all(r.text == texts[r.doc_id] and (r.pred, r.score, r.spans, r.mix_size) == ("p", 2.5, 1, "m") for r in clean if r.doc_id != 13)
+    assert {(r.text, r.n_chars) for r in clean if r.doc_id == 13} == {(x := "mail <EMAIL> now <PHONE> card <CARD> ip <IP>", len(x))}
+    kept = {r.doc_id for r in stages["language_id"](spark, more, "").collect()}
+    assert kept <= set(texts) and not kept & {0, 1, 2}
+    mixed = Counter(r.doc_id for r in stages["source_mix"](spark, more, "").collect())
+    want = {r.doc_id: r.mix_copies for r in mixing.decide(more.drop("mix_size")).collect()}
+    assert mixed == {i: n * (2 if i in (4, 13) else 1) for i, n in want.items() if n}
+    tokens = stages["token_ids"](spark, more, "").collect()
+    assert Counter(r.doc_id for r in tokens) == Counter([*texts, 4, 13])
+    assert all(r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest() for r in tokens)
