@@ -16,6 +16,8 @@ MODULES = {
     "op8_quality_rules": "quality_rules",
     "op9_ngram_join": "ngram_join",
     "op10_quality_model": "quality_model",
+    "op12_fill_in_middle": "fill_in_middle",
+    "op13_warc": "warc",
 }
 
 
