@@ -102,14 +102,15 @@ PLACES = 64
 _at_place = mix(np.arange(256 * PLACES, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in lower case (A-Z), text after text, and where each text's begin (with the end).
+    between says of each byte whether it stands between words; a line feed must.
 
     The hash of a word is the sum of one random number for each byte at its place in the word, mixed with its length.
     """
     coded = [t.encode() if t else b"" for t in texts]
     buf = np.frombuffer(b"\n".join(coded) + b"\n", dtype=np.uint8)
-    space = SPACE[buf]
+    space = between[buf]
     edge = np.flatnonzero(np.diff(space, prepend=True))
     start, end = edge[::2], edge[1::2]
     length = end - start

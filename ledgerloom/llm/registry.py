@@ -16,6 +16,7 @@ MODULES = {
     "op8_quality_rules": "quality_rules",
     "op9_ngram_join": "ngram_join",
     "op10_quality_model": "quality_model",
+    "op11_ranked_search": "ranked_search",
     "op12_fill_in_middle": "fill_in_middle",
     "op13_warc": "warc",
 }
