@@ -10,7 +10,8 @@ The form is plain (the text as it is), psm (<P>prefix<S>suffix<M>middle) or spm
 marker in them stay plain, so each marker of the other forms stands once and restore() gives the exact text.
 
 Null texts are empty ones, and those are plain. A null doc_id is hashed as an empty number. Repeated rows give repeated
-rows, an empty table an empty one. Only doc_id, the text and what keep names are read, whatever other columns are called.
+rows, an empty table an empty one. Only doc_id, the text and what keep names are read, whatever other columns are called;
+a kept column must not have the name of a result (ValueError).
 """
 
 from __future__ import annotations
@@ -80,8 +81,10 @@ def _run(source: DataFrame, sql: str, text: str, out: list[StructField]) -> Data
     return source.mapInArrow(each, StructType(out))
 
 
-def _kept(docs: DataFrame, keep: tuple[str, ...]) -> tuple[list, str, list[StructField]]:
+def _kept(docs: DataFrame, keep: tuple[str, ...], results: list[str]) -> tuple[list, str, list[StructField]]:
     """Columns to carry under names that can't clash, as SQL, and as fields of the result."""
+    if clash := {k.lower() for k in keep} & set(results):
+        raise ValueError(f"kept columns have names of results: {sorted(clash)}")
     cols = [F.col(f"`{k}`").alias(f"__keep{i}") for i, k in enumerate(keep)]
     return cols, "".join(f"__keep{i}, " for i in range(len(keep))), [StructField(k, docs.schema[k].dataType) for k in keep]
 
@@ -92,14 +95,14 @@ SHAPE = [StructField("n", LONG), StructField("form", STRING), StructField("prefi
 
 def transform(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """What keep names, n, form, prefix_chars, middle_chars (null if plain) and the output text."""
-    cols, names, fields = _kept(docs, keep)
+    cols, names, fields = _kept(docs, keep, [*(f.name for f in SHAPE), "output"])
     source = docs.select(*cols, F.col(f"`{doc_id}`").cast("string").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     return _run(source, TRANSFORM.replace("KEEP ", names), "text", [*fields, *SHAPE, StructField("output", STRING)])
 
 
 def restore(made: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """What keep names, and the text that transform() made output of; of the other columns only form and output are read."""
-    cols, names, fields = _kept(made, keep)
+    cols, names, fields = _kept(made, keep, ["restored"])
     return _run(made.select(*cols, "form", "output"), RESTORE.replace("KEEP ", names), "output", [*fields, StructField("restored", STRING)])
 
 

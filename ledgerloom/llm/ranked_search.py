@@ -214,10 +214,10 @@ def impacts(tf: np.ndarray, n: np.ndarray, n_docs: int, n_terms: int) -> np.ndar
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
-def _clusters(first_id: int, doc_ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, impact: np.ndarray) -> pa.RecordBatch:
+def _clusters(first_id: int, doc_ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, impact: np.ndarray, size: int = CLUSTER) -> pa.RecordBatch:
     """A run of documents, bisected down to clusters: one row each."""
     n = len(doc_ids)
-    levels = max(0, math.ceil(math.log2(n / CLUSTER)))
+    levels = max(0, math.ceil(math.log2(n / size)))
     owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
     _, number, df = np.unique(terms, return_inverse=True, return_counts=True)
     telling = (df > 1)[number]
@@ -240,8 +240,9 @@ def _clusters(first_id: int, doc_ids: np.ndarray, ends: np.ndarray, terms: np.nd
     ], names=["id", "doc_ids", "terms", "ends", "most", "at", "impact"])
 
 
-def build(docs: DataFrame, folder: str, only: np.ndarray | None = None) -> Index:
-    """Write the index of all rows: of all their terms, or of those in only (sorted hashes), which gives the same results for queries of these."""
+def build(docs: DataFrame, folder: str, only: np.ndarray | None = None, sample: int = SAMPLE, chunk: int = CHUNK, cluster: int = CLUSTER) -> Index:
+    """Write the index of all rows: of all their terms, or of those in only (sorted hashes), which gives the same results for queries of these.
+    The other parameters change what a search visits, never what it returns."""
     spark = prepare(docs.sparkSession)
     forward(docs, only).write.parquet(f"{folder}/forward")
     rows = spark.read.schema(FORWARD).parquet(f"{folder}/forward")
@@ -250,7 +251,7 @@ def build(docs: DataFrame, folder: str, only: np.ndarray | None = None) -> Index
     rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).write.parquet(f"{folder}/df")
     rows = rows.where(F.size("terms") > 0)
     h = F.xxhash64("doc_id", "n")
-    few = rows.where(F.pmod(h, F.lit(1 << 30)) <= min(1 << 30, (SAMPLE << 30) // max(1, n_docs))).select("terms").limit(2 * SAMPLE).toArrow()
+    few = rows.where(F.pmod(h, F.lit(1 << 30)) <= min(1 << 30, (sample << 30) // max(1, n_docs))).select("terms").limit(2 * sample).toArrow()
     ends, terms = _arrays(few.combine_chunks().to_batches()[0], "terms") if few.num_rows else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
     tree = spark.sparkContext.broadcast(fit(ends, terms) if few.num_rows else None)
 
@@ -267,17 +268,17 @@ def build(docs: DataFrame, folder: str, only: np.ndarray | None = None) -> Index
             ends, terms = _arrays(batch, "terms")
             n, ids = batch.column(1).to_numpy(), batch.column(0).fill_null(NONE).to_numpy()
             tf = _arrays(batch, "tfs")[1].astype(np.int64)
-            return _clusters(next_id, ids, ends, terms, impacts(tf, np.repeat(n, np.diff(ends, prepend=0)), n_docs, n_terms))
+            return _clusters(next_id, ids, ends, terms, impacts(tf, np.repeat(n, np.diff(ends, prepend=0)), n_docs, n_terms), cluster)
 
         for batch in it:
             while batch.num_rows:
                 ends = batch.column(2).offsets.to_numpy()
-                room = min(CHUNK - size, max(1, int(np.searchsorted(ends - ends[0], POSTINGS - postings, side="right")) - 1) if postings < POSTINGS else 0)
+                room = min(chunk - size, max(1, int(np.searchsorted(ends - ends[0], POSTINGS - postings, side="right")) - 1) if postings < POSTINGS else 0)
                 part, batch = batch.slice(0, room), batch.slice(room)
                 if part.num_rows:
                     held.append(part)
                     size, postings = size + part.num_rows, postings + int(ends[part.num_rows] - ends[0])
-                if size >= CHUNK or postings >= POSTINGS or (batch.num_rows and held):
+                if size >= chunk or postings >= POSTINGS or (batch.num_rows and held):
                     done = run()
                     yield done
                     next_id, held, size, postings = next_id + done.num_rows, [], 0, 0

@@ -99,7 +99,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes, int, bytes]:
     return fields, block, length, payload
 
 
-def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", level: int = 4) -> DataFrame:
+def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", level: int = 4, archive: int = ARCHIVE) -> DataFrame:
     """Write the archives and their index (folder/index, Parquet) and return the index."""
     spark = prepare(pages.sparkSession)
 
@@ -114,7 +114,7 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", lev
             nonlocal name, out, at
             for batch in small(it, "html", 4_000_000):
                 for page_id, url, html, digest, first in zip(*columns(batch, "page_id", "url", "html", "payload_digest", "first"), strict=True):
-                    if out is None or at >= ARCHIVE:
+                    if out is None or at >= archive:
                         if out is not None:
                             out.close()
                         name, at = f"archives/{uuid.uuid4().hex}.warc.gz", 0
@@ -134,24 +134,24 @@ def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", lev
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
-def ranges(rows: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+def ranges(rows: list[tuple[str, int, int]], most: int = READ) -> Iterator[tuple[int, int]]:
     """First and last row (left out) of each run of rows (archive, offset, length), sorted, that one read takes."""
     first = 0
     for i in range(1, len(rows) + 1):
         if i < len(rows):
             archive, offset, length = rows[i]
             before = rows[i - 1]
-            if archive == before[0] and offset - before[1] - before[2] <= GAP and offset + length - rows[first][1] <= READ:
+            if archive == before[0] and offset - before[1] - before[2] <= GAP and offset + length - rows[first][1] <= most:
                 continue
         if first < i:
             yield first, i
         first = i
 
 
-def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
+def read(index: DataFrame, folder: str, payload: bool = True, span: int = SPAN, most: int = READ) -> DataFrame:
     """The records that rows of the index name, with their payloads (null for revisits; see payloads()) or without."""
     spark = prepare(index.sparkSession)
-    rows = index.select("page_id", "archive", "offset", "length", "payload_digest", F.floor(F.col("offset") / SPAN).alias("span"))
+    rows = index.select("page_id", "archive", "offset", "length", "payload_digest", F.floor(F.col("offset") / span).alias("span"))
     dealt = rows.repartition(shuffle_partitions(spark), "archive", "span").sortWithinPartitions("archive", "offset")
 
     def each(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
             nonlocal name, source
             for batch in it:
                 page_ids, archives, offsets, lengths, digests = columns(batch, "page_id", "archive", "offset", "length", "payload_digest")
-                for a, b in ranges(list(zip(archives, offsets, lengths, strict=True))):
+                for a, b in ranges(list(zip(archives, offsets, lengths, strict=True)), most):
                     if archives[a] != name:
                         if source is not None:
                             source.close()
@@ -181,7 +181,7 @@ def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
         for r in records():
             held.append(r)
             size += len(r[-1] or b"") + 200
-            if size > READ:
+            if size > most:
                 yield _batch(held)
                 held, size = [], 0
         if held:
