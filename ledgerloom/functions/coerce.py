@@ -64,6 +64,19 @@ def ranged(x: Column) -> Column:
     return F.struct(value.alias("value"), F.when(~blank, r["lo"]).alias("lo"), F.when(~blank, r["hi"]).alias("hi"), varies.alias("varies"), (~blank & value.isNull()).alias("lost"))
 
 
+def plain(x: Column) -> Column:
+    """The same struct for a field without range columns: the first number, or the only number word."""
+    n, none = number(x), F.lit(None).cast("double")
+    blank = x.isNull() | non_value(x)
+    value = F.when(~blank, n)
+    return F.struct(value.alias("value"), none.alias("lo"), none.alias("hi"), F.coalesce(x.rlike(r"(?iu)^\s*var"), F.lit(False)).alias("varies"), (~blank & value.isNull()).alias("lost"))
+
+
+def as_text(x: Column) -> Column:
+    """A number as a text that reads as the same number again: no exponent, no trailing zeros, up to six decimals."""
+    return F.regexp_replace(F.regexp_replace(x.cast("decimal(28,6)").cast("string"), r"0+$", ""), r"\.$", "")
+
+
 def boolean(x: Column) -> Column:
     s = F.lower(F.trim(x))
     return F.when(s.isin("true", "yes", "y", "1"), True).when(s.isin("false", "no", "n", "0"), False)

@@ -19,7 +19,9 @@ DASHES, QUOTES = "‐‑‒–—―−", "‘’‚‛“”„‟"
 
 
 def literal_map(m: dict) -> Column:
-    return F.create_map(*(F.lit(x) for kv in m.items() for x in kv))
+    """A fixed table of strings, integers or floats as a map: one expression, parsed by Spark."""
+    said = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(x, str) else f"{x}D" if isinstance(x, float) else str(x)
+    return F.expr(f"map({', '.join(said(x) for kv in m.items() for x in kv)})")
 
 
 def lookup(m: dict, key: Column) -> Column:

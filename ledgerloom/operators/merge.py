@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PRIORITY = "roofing mechanical_hvac vertical_transportation structural_frame_foundation building_envelope".split()
+from ledgerloom import registries as R
 
 
 def apply_verdicts(cells: DataFrame, verdicts: DataFrame, key: str = "property_id", field: str = "field") -> DataFrame:
@@ -45,14 +45,16 @@ def top_suspects(scored: DataFrame, group: str, member: str, weight: str, k: int
 
 
 def suspect_systems(systems: DataFrame, issues: DataFrame, k: int = 4) -> DataFrame:
-    """Weights: a failed check 3 (a category 1), cost without a rating 2, no source 2, a priority subcategory 1."""
-    failed = issues.where((F.col("layer") == "systems") & F.col("subcategory").isNotNull()).select("property_id", "subcategory", F.when(F.col("kind") == "category", 1).otherwise(3).alias("weight"))
+    """The systems rows to look at first. Weights: a failed check of the row 3 (a category 1); of assessed rows with cost: no rating 2, else no
+    source 2, else a priority subcategory 1. issues name rows by row_idx, systems has it; shape issues name no row."""
+    failed = issues.where((F.col("layer") == "systems") & F.col("row_idx").isNotNull()).select("property_id", "row_idx", F.when(F.col("kind") == "category", 1).otherwise(3).alias("weight"))
+    failed = failed.groupBy("property_id", "row_idx").agg(F.max("weight").alias("weight")).join(systems.select("property_id", "row_idx", "subcategory"), ["property_id", "row_idx"]).where(F.col("subcategory").isNotNull())
     money = [c for c in systems.columns if c.endswith("_usd") and "per_unit" not in c]
-    costed = F.greatest(*(F.coalesce(c, F.lit(0.0)) for c in money), F.lit(0.0)) > 0
-    weights = F.array_compact(F.array(
-        F.when(costed & F.col("condition").isNull(), 2), F.when(F.col("assessed") & F.col("source_sections").isNull(), 2), F.when(F.col("assessed") & F.col("subcategory").isin(*PRIORITY), 1)))
-    own = systems.where(F.size(weights) > 0).select("property_id", "subcategory", F.array_max(weights).alias("weight"))
-    return top_suspects(failed.unionByName(own), "property_id", "subcategory", "weight", k)
+    costed = F.greatest(*(F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in money), F.lit(0.0)) > 0
+    unsourced = F.col("source_sections").isNull() | (F.col("source_sections") == "")
+    weight = F.when(F.col("condition").isNull() & F.col("condition_rating_numeric").isNull(), 2).when(unsourced, 2).when(F.col("subcategory").isin(*R.PRIORITY), 1)
+    own = systems.where(F.col("assessed") & costed & weight.isNotNull()).select("property_id", "subcategory", weight.alias("weight"))
+    return top_suspects(failed.select("property_id", "subcategory", "weight").unionByName(own), "property_id", "subcategory", "weight", k)
 
 
 def suspect_fields(*sources: DataFrame) -> DataFrame:

@@ -6,36 +6,43 @@ expressions over three tables (and page texts, if given); nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
 from ledgerloom.functions import coerce, rules
-from ledgerloom.operators import checks, grid, reconcile
-
-LOSS = "type_coercion"
-
-
-def _numbers(df: DataFrame, bounds: dict, layer: str) -> tuple[DataFrame, Column]:
-    """Numeric fields parsed; ranges fill their _min and _max; lost values as issues."""
-    losses, new = [], {}
-    for f in bounds:
-        if f not in df.columns or f.endswith(("_min", "_max")):
-            continue
-        r = coerce.ranged(F.col(f).cast("string"))
-        lo, hi = f"{f}_min", f"{f}_max"
-        new[f] = F.coalesce(r["value"], F.col(hi).try_cast("double")) if hi in df.columns else r["value"]
-        if lo in df.columns:
-            new[lo], new[hi] = F.coalesce(F.col(lo).try_cast("double"), r["lo"]), F.coalesce(F.col(hi).try_cast("double"), r["hi"])
-        losses.append(F.when(r["lost"], F.struct(F.lit(f).alias("field"), F.lit(LOSS).alias("kind"), F.col(f).cast("string").alias("detail"))))
-        if f in ("rul_years", "eul_years") and "rul_varies" in df.columns:
-            new["rul_varies"] = new.get("rul_varies", F.coalesce("rul_varies", F.lit(False))) | r["varies"]
-    lost = F.filter(F.array(*losses), lambda x: x.isNotNull()) if losses else F.array().cast("array<struct<field:string,kind:string,detail:string>>")
-    return df.withColumn("__lost", lost).withColumns(new), F.lit(layer)
-
-
-def _losses(df: DataFrame, layer: Column) -> DataFrame:
-    return df.select(F.col("property_id").cast("string").alias("property_id"), layer.alias("layer"), F.lit(None).cast("int").alias("row_idx"), F.explode("__lost").alias("i")).select("property_id", "layer", "row_idx", "i.*")
+from ledgerloom.operators import grid
+from ledgerloom.operators import verification as V
+from ledgerloom.operators.verification import LOSS
+
+
+NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal")
+
+
+def numbers(df: DataFrame, bounds: dict, layer: str) -> DataFrame:
+    """Numeric fields parsed (numbers stay); ranges of fields that have _min and _max fill these; lost values as issues in the column __lost.
+
+    All texts of a sort are parsed by one expression over an array of them, so the plan doesn't grow with the fields.
+    """
+    kinds, new = dict(df.dtypes), {}
+    fields = [f for f in bounds if f in df.columns and not f.endswith(("_min", "_max"))]
+    spans = {f for f in fields if f"{f}_min" in df.columns and f"{f}_max" in df.columns}
+    texts = [f for f in fields if not kinds[f].startswith(NUMERIC)]
+    groups = {"__plain": ([f for f in texts if f not in spans], coerce.plain), "__ranged": ([f for f in texts if f in spans], coerce.ranged)}
+    df = df.withColumns({g: F.transform(F.array(*(F.col(f).cast("string") for f in fs)), parse) for g, (fs, parse) in groups.items() if fs})
+    parsed = {f: F.get(F.col(g), F.lit(i)) for g, (fs, _) in groups.items() for i, f in enumerate(fs)}
+    for f in fields:
+        value = parsed[f]["value"] if f in parsed else F.col(f).cast("double")
+        new[f] = value
+        if f in spans:
+            lo, hi = F.col(f"{f}_min").try_cast("double"), F.col(f"{f}_max").try_cast("double")
+            new[f] = F.coalesce(value, hi)
+            new[f"{f}_min"], new[f"{f}_max"] = (F.coalesce(parsed[f]["lo"], lo), F.coalesce(parsed[f]["hi"], hi)) if f in parsed else (lo, hi)
+        if f in parsed and f in ("rul_years", "eul_years") and "rul_varies" in df.columns:
+            new["rul_varies"] = new.get("rul_varies", F.coalesce("rul_varies", F.lit(False))) | parsed[f]["varies"]
+    losses = [F.when(parsed[f]["lost"], F.struct(F.lit(layer).alias("layer"), F.lit(f).alias("field"), F.lit(LOSS).alias("kind"), F.col(f).cast("string").alias("detail"))) for f in texts]
+    lost = F.filter(F.array(*losses), lambda x: x.isNotNull()) if losses else F.array().cast(V.LIST)
+    return df.withColumns({**new, "__lost": lost}).drop(*groups)
 
 
 def coerce_systems(systems: DataFrame) -> DataFrame:
@@ -48,14 +55,15 @@ def coerce_systems(systems: DataFrame) -> DataFrame:
     if {"condition_secondary", "notes"} <= set(s.columns):
         second = coerce.category_value(F.col("condition_secondary"))
         rated = F.exists(F.split(second, "; "), lambda p: p.isin(*R.CONDITIONS))
-        s = s.withColumns({"notes": F.when(second.isNotNull() & ~rated, F.concat_ws("; ", "notes", "condition_secondary")).otherwise(F.col("notes")), "condition_secondary": F.when(rated, second)})
+        bare = coerce.numeric_rating(F.col("condition_secondary").cast("string")).isNotNull()
+        finding = F.trim(F.concat(F.coalesce("notes", F.lit("")), F.lit(" [condition detail: "), F.col("condition_secondary"), F.lit("]")))
+        s = s.withColumns({"notes": F.when(second.isNotNull() & ~rated & ~bare, finding).otherwise(F.col("notes")), "condition_secondary": F.when(rated & ~bare, second)})
     return s
 
 
 def coerce_components(components: DataFrame) -> DataFrame:
-    """A subcategory that isn't one of the twelve is derived from the description."""
-    known = F.col("subcategory").isin(*R.SUBCATEGORIES, R.OTHER)
-    return components.withColumn("subcategory", F.when(known, F.col("subcategory")).otherwise(rules.subcategory_of_component(F.coalesce("description", F.lit("")))))
+    """The subcategory follows the description as it is now."""
+    return components.withColumn("subcategory", rules.subcategory_of_component(F.coalesce("description", F.lit(""))))
 
 
 def coerce_properties(properties: DataFrame, firms: rules.Rules | None = None) -> DataFrame:
@@ -72,18 +80,30 @@ def coerce_properties(properties: DataFrame, firms: rules.Rules | None = None) -
     return p
 
 
+def coerced(properties: DataFrame, systems: DataFrame, components: DataFrame, firms: rules.Rules | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables with typed values; __lost has the values that were lost."""
+    p = numbers(coerce_properties(properties, firms), R.PROPERTY_BOUNDS, "property")
+    s = numbers(coerce_systems(systems), R.SYSTEM_BOUNDS, "systems")
+    return p, s, numbers(coerce_components(components), R.COMPONENT_BOUNDS, "components")
+
+
+def record_issues(p: DataFrame, s: DataFrame, c: DataFrame, t: DataFrame, more: bool = False) -> DataFrame:
+    """All that coerced tables and the totals of their properties show: one scan of each; more adds the arithmetic of components."""
+    firm = V.client_firm() if "report_firm" in p.columns else []
+    own = V.typed(p, "property", R.PROPERTY_BOUNDS, {"overall_condition": R.CONDITIONS, "unit_basis": R.UNIT_BASES}, ["report_date", "assessment_date"])
+    at = lambda df: "row_idx" if "row_idx" in df.columns else None
+    found = V.exploded(t, [*V.whole(t), *firm, *own], lost="__lost").unionByName(V.exploded(s, V.of_systems(s), at(s), "__lost"))
+    return found.unionByName(V.exploded(c, [*V.of_components(c), *(V.arithmetic(c) if more else [])], at(c), "__lost"))
+
+
 def revalidate(properties: DataFrame, systems: DataFrame, components: DataFrame, firms: rules.Rules | None = None, version: str = "unversioned") -> dict[str, DataFrame]:
     """properties (with provenance), systems, components, issues, capex: the tables of a run."""
-    p, p_layer = _numbers(coerce_properties(properties, firms), R.PROPERTY_BOUNDS, "property")
-    s, s_layer = _numbers(coerce_systems(systems), R.SYSTEM_BOUNDS, "systems")
-    c, c_layer = _numbers(coerce_components(components), R.COMPONENT_BOUNDS, "components")
-    recon = reconcile.component_checks(p, c).withColumn("row_idx", F.lit(None).cast("int"))
-    found = checks.issues(p, "property_id", "property", R.PROPERTY_BOUNDS, {"overall_condition": R.CONDITIONS, "unit_basis": R.UNIT_BASES}, [d for d in ("report_date", "assessment_date") if d in p.columns])
-    for more in (checks.system_issues(s), checks.component_issues(c), _losses(p, p_layer), _losses(s, s_layer), _losses(c, c_layer), recon.select("property_id", "layer", "row_idx", "field", "kind", "detail")):
-        found = found.unionByName(more)
-    status = checks.status(p, found).select("property_id", F.col("status").alias("extraction_status"), F.col("n_issues").alias("recon_issues"))
-    quality = reconcile.target_quality(p, recon)
-    stamped = p.drop("__lost", "extraction_status", "recon_issues", "target_quality").join(status, "property_id", "left").join(quality, "property_id", "left")
+    p, s, c = coerced(properties, systems, components, firms)
+    t = V.totals(p, s, c)
+    found = record_issues(p, s, c, t)
+    verdicts = V.verdicts(p.select(F.col("property_id").cast("string").alias("property_id")), found)
+    mine = verdicts.select("property_id", F.col("status").alias("extraction_status"), (F.col("recon_issues") + F.col("det_issues")).alias("recon_issues"), "target_quality")
+    stamped = p.drop("__lost", "extraction_status", "recon_issues", "target_quality").join(mine, "property_id", "left")
     stamped = stamped.withColumn("prompt_version", F.coalesce(F.nullif(F.col("prompt_version"), F.lit("")), F.lit(version)) if "prompt_version" in p.columns else F.lit(version))
     if "report_firm" not in stamped.columns:
         stamped = stamped.withColumn("report_firm", F.lit(None).cast("string"))

@@ -1,22 +1,18 @@
-"""Readers: file listings, records as JSON, tables as CSV or Parquet, page texts, truncated JSON."""
+"""Readers: file listings, records as JSON, tables as CSV or Parquet, page texts; salvage of truncated JSON is beside."""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 from ledgerloom.functions.text import slug
+from ledgerloom.sources.salvage import register, salvaged
+
+__all__ = ["cells", "csv", "first_paths", "gold_labels", "listing", "page_texts", "records", "register", "salvaged"]
 
 CELL = "struct<value:string, page:int, snippet:string, confidence:double>"
 RECORD = f"property map<string, {CELL}>, systems array<map<string, string>>, components array<map<string, string>>, _prompt_version string"
 
-BETWEEN = re.compile(r"[\s,]*")
-
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
     """path, stem, property_id, length of the files, without archive litter. Contents aren't read."""
@@ -50,26 +46,7 @@ def page_texts(spark: SparkSession, path: str, mark: str = "\f") -> DataFrame:
     return whole.select("doc_id", F.posexplode(F.split("value", mark)).alias("page_no", "text"))
 
 
-def salvaged(text: str | None) -> Iterator[str]:
-    """The whole objects at the top of a JSON array that may be cut off: what a decoder reads, until it can't read on."""
-    text, read = text or "", json.JSONDecoder().raw_decode
-    at = text.find("[") + 1
-    while at and (gap := BETWEEN.match(text, at)).end() < len(text) and text[gap.end()] != "]":
-        try:
-            value, at = read(text, gap.end())
-        except json.JSONDecodeError:
-            return
-        if isinstance(value, dict):
-            yield text[gap.end() : at]
-
-
-@udtf(returnType="pos int, object string")
-class SalvageRows:
-    """Lateral table function over salvaged()."""
-
-    def eval(self, text: str) -> Iterator[tuple[int, str]]:
-        yield from enumerate(salvaged(text))
-
-
-def register(spark: SparkSession) -> None:
-    spark.udtf.register("salvage_rows", SalvageRows)
+def gold_labels(spark: SparkSession, path: str) -> DataFrame:
+    """id, field, value of gold files: one JSON object each, named by its file, whose values are scalars (others as JSON)."""
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("id"), "value")
+    return whole.select("id", F.explode(F.from_json("value", "map<string,string>")).alias("field", "value"))
