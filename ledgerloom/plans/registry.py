@@ -463,12 +463,12 @@ def sample_head(spark, d) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import ledgerloom.plans.audits  # noqa: F401  registers its queries
+    from ledgerloom.plans import audits, texts  # noqa: F401  these register their queries
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    import ledgerloom.plans.audits  # noqa: F401
+    from ledgerloom.plans import audits, texts  # noqa: F401
 
     return dict(_sql)
