@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
+from ledgerloom.functions import rules
 
 MONEY = "immediate_repairs_usd short_term_repairs_usd non_critical_repairs_usd replacement_reserves_usd".split()
 
@@ -58,15 +59,50 @@ def merge_rows(df: DataFrame, keys: list[str], pos: str, sums: list[str], texts:
     return df.groupBy(*keys).agg(*aggs, *([F.bool_or(flag).alias(flag)] if flag else []))
 
 
-def normalise_systems(systems: DataFrame, label: Column) -> DataFrame:
-    """Twelve rows a property: unknown subcategories remapped by the label, duplicates merged, absences filled; costed rows of none of them stay as one more."""
-    s = systems.withColumn("subcategory", F.when(F.col("subcategory").isin(*R.SUBCATEGORIES), F.col("subcategory")).otherwise(label))
-    texts = [c for c in ("condition_secondary", "action_required", "source_sections", "notes") if c in s.columns]
-    scalars = [c for c in ("report_firm", "condition", "condition_rating_numeric", "rul_years", "rul_years_min", "rul_years_max") if c in s.columns]
-    merged = merge_rows(s, ["property_id", "subcategory"], "pos", MONEY, texts, scalars, "assessed")
-    grid = complete(systems, "property_id", "subcategory", R.SUBCATEGORIES).join(merged, ["property_id", "subcategory"], "left")
-    carries = F.coalesce(*(F.col(c).isNotNull() for c in ["condition"]), F.lit(False))
-    costed = F.greatest(*(F.abs(F.coalesce(c, F.lit(0.0))) for c in MONEY)) > 0
-    grid = grid.withColumn("assessed", F.coalesce("assessed", carries | costed))
-    orphans = merged.where(F.col("subcategory") == R.OTHER).where(costed)
-    return grid.unionByName(orphans)
+#: What a systems row says, beside its keys.
+TEXTS, SCALARS = ["action_required", "source_sections", "notes"], ["condition", "condition_secondary", "condition_rating_numeric", "rul_years", "rul_years_min", "rul_years_max"]
+CONTENT = ["condition", "condition_rating_numeric", "action_required", "rul_years", "notes", "source_sections", *MONEY]
+
+
+def normalise_systems(systems: DataFrame) -> DataFrame:
+    """Twelve rows a property, and one more for costs that belong to none of the twelve: property_id, subcategory, what rows say, assessed.
+
+    A subcategory is known by its slug; an unknown one is mapped by the rules over what the row says of itself; other takes
+    the rest. Rows of one subcategory are merged by pos: money adds up, texts are joined without repeats, the first
+    known scalar stays, assessed is true if any is and null if all are. A row that doesn't say whether it was assessed was, if it says
+    anything at all. Absent rows are filled in as not assessed. Of other's rows one is left if it carries any money.
+    One aggregate by property and subcategory, then a join with the grid of properties.
+    """
+    have = lambda names: [c for c in names if c in systems.columns]
+    slugged = F.regexp_replace(F.lower(F.trim("subcategory")), " ", "_")
+    said = F.concat_ws(" ", *(F.coalesce(F.col(c), F.lit("")) for c in have(["subcategory", "source_sections", "notes"])))
+    sub = F.when(F.col("__slug").isin(*R.SUBCATEGORIES, R.OTHER), F.col("__slug")).otherwise(rules.subcategory(F.col("__said")))
+    rows = systems.withColumns({"__slug": slugged, "__said": said}).withColumns({"subcategory": sub, **{c: F.nullif(F.trim(c), F.lit("")) for c in have(TEXTS)}})
+    merged = merge_rows(rows, ["property_id", "subcategory"], "pos", have(MONEY), have(TEXTS), have(SCALARS), "assessed")
+    any_content = F.lit(False)
+    for c in have(CONTENT):
+        any_content = any_content | F.col(c).isNotNull()
+    merged = merged.withColumn("assessed", F.coalesce("assessed", any_content))
+    grid = complete(systems, "property_id", "subcategory", R.SUBCATEGORIES).join(merged, ["property_id", "subcategory"], "left").withColumn("assessed", F.coalesce("assessed", F.lit(False)))
+    costed = F.lit(False)
+    for c in have(MONEY):
+        costed = costed | F.coalesce(F.col(c) != 0, F.lit(False))
+    return grid.unionByName(merged.where((F.col("subcategory") == R.OTHER) & costed).withColumn("assessed", F.lit(True)))
+
+
+def migrate_legacy_systems(systems: DataFrame) -> DataFrame:
+    """Properties with a row without a subcategory are of the older layout, one row a section of the report: their rows are mapped by
+    the section's heading, which moves to source_sections with its number, and normalised. All others stay as they are.
+
+    systems has pos, system_name and section_code beside the columns of today; the older layout had no rul_years and no notes.
+    """
+    blank = F.coalesce(F.trim("subcategory") == "", F.lit(True))
+    old = systems.groupBy("property_id").agg(F.bool_or(blank).alias("__old"))
+    j = systems.join(old, "property_id")
+    today = [c for c in systems.columns if c not in ("system_name", "section_code", "pos")]
+    text = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    heading = F.coalesce(F.nullif(F.col("system_name"), F.lit("")), F.trim(F.concat_ws(" ", text("system_name"), text("section_code"))))
+    source = F.nullif(F.trim(F.concat_ws(" ", text("section_code"), text("system_name"))), F.lit(""))
+    gone = {c: F.lit(None).cast(dict(systems.dtypes)[c]) for c in ("rul_years", "rul_years_min", "rul_years_max", "notes") if c in systems.columns}
+    folded = j.where("__old").withColumns({"subcategory": rules.subcategory(heading), "source_sections": source, "assessed": F.lit(True), **gone})
+    return normalise_systems(folded.select(*today, "pos")).select(*today).unionByName(j.where("NOT __old").select(*today))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
-from ledgerloom.operators import merge
+from ledgerloom.operators import grid, merge
 from ledgerloom.operators import verification as V
 from ledgerloom.plans import derived, verify
 from ledgerloom.plans import revalidate as P
-from ledgerloom.plans.registry import query, t
+from ledgerloom.plans.registry import _rule_sql, query, t
 from ledgerloom.sources.store import Store
+from ledgerloom.streaming import feed
 
 
 def work_folder(spark: SparkSession, what: str) -> str:
@@ -247,3 +248,59 @@ def latest_by_key(spark, d) -> DataFrame:
     for part in (e.where("event_id % 2 = 1"), e.where("event_id % 2 = 0"), e):
         store.upsert(part, "ts", "event_id")
     return store.read().select("user_id", "event_id", "event_type", "ts")
+
+
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events WHERE user_id IS NOT NULL GROUP BY 1")
+def stream_latest(spark, d) -> DataFrame:
+    """The events table as a feed of files, taken into a keyed store twice: the second feed knows nothing of the first, and changes nothing."""
+    folder = work_folder(spark, "feed")
+    store = Store(spark, f"{folder}/latest", "user_id", 16)
+    for run in range(2):
+        events = spark.readStream.schema("event_id long, user_id long, event_type string, value double").option("maxFilesPerTrigger", 4).parquet(f"{d}/[e]vents.parquet")  # a pattern: a stream of one plain file path isn't read
+        feed.upsert_available(events.where("user_id IS NOT NULL"), store, ("event_id",), f"{folder}/checkpoint-{run}").awaitTermination()
+    return store.read().select("user_id", "event_id", "event_type", "value")
+
+
+@query("""SELECT o_orderkey, o_orderpriority AS version, 2 * o_totalprice AS amount, CASE WHEN o_orderpriority < '4' AND o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS run FROM orders""")
+def cached_results(spark, d) -> DataFrame:
+    """Results by key and version: a first run over half of the orders, a second over all, with other versions for some; only what is new is computed again."""
+    o = t(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("version"), "o_totalprice")
+    store = Store(spark, work_folder(spark, "results"), "o_orderkey", 16)
+    made = lambda run: lambda x: x.select("o_orderkey", "version", (F.col("o_totalprice") * 2).alias("amount"), F.lit(run).alias("run"))
+    older = o.where("o_orderkey % 2 = 0").withColumn("version", F.when(F.col("version") < "4", F.col("version")).otherwise("older"))
+    feed.results(older, store, "version", made(1))
+    return feed.results(o, store, "version", made(2))
+
+
+def _texts(f: str) -> str:
+    return f"{f}_t AS (SELECT property_id, sub, string_agg(v, '; ' ORDER BY p) AS {f} FROM (SELECT property_id, sub, trim({f}) AS v, min(pos) AS p FROM row WHERE trim({f}) <> '' GROUP BY 1, 2, 3) GROUP BY 1, 2)"
+
+
+_FLAT = "coalesce(replace(trim(lower(subcategory)), ' ', '_'), '')"
+_SLUGS = ", ".join(f"'{x}'" for x in R.SUBCATEGORIES)
+_MONEYS = list(derived.MONEY.values())
+_BLANK = "coalesce(trim({}), '')"
+#: Rows of sections with their subcategory, merged, laid over the grid.
+_MERGED = f"""{", ".join(_texts(f) for f in grid.TEXTS)},
+m AS (SELECT property_id, sub, arg_min(condition, pos) FILTER (condition IS NOT NULL) AS condition, {", ".join(f"CAST(sum(CAST({f} AS DECIMAL(18,2))) AS DOUBLE) AS {f}" for f in _MONEYS)}, bool_or(assessed) AS said FROM row GROUP BY 1, 2),
+n AS (SELECT m.*, {", ".join(grid.TEXTS)}, coalesce(said, {" OR ".join(f"{f} IS NOT NULL" for f in ["condition", *grid.TEXTS, *_MONEYS])}) AS assessed FROM m {" ".join(f"LEFT JOIN {f}_t USING (property_id, sub)" for f in grid.TEXTS)}),
+out AS (SELECT k.property_id, a.sub AS subcategory, condition, {", ".join(grid.TEXTS)}, {", ".join(_MONEYS)}, coalesce(assessed, FALSE) AS assessed FROM (SELECT DISTINCT property_id FROM row) k CROSS JOIN (SELECT unnest([{_SLUGS}]) AS sub) a LEFT JOIN n ON n.property_id = k.property_id AND n.sub = a.sub
+  UNION ALL SELECT property_id, sub, condition, {", ".join(grid.TEXTS)}, {", ".join(_MONEYS)}, TRUE FROM n WHERE sub = 'other' AND ({" OR ".join(f"coalesce({f} <> 0, FALSE)" for f in _MONEYS)}))"""
+_COLUMNS = ["property_id", "subcategory", "condition", *grid.TEXTS, *_MONEYS, "assessed"]
+
+
+@query(f"""WITH {derived.ctes("section")}, row AS (SELECT *, CASE WHEN {_FLAT} IN ({_SLUGS}, 'other') THEN {_FLAT} ELSE {_rule_sql(R.SUBCATEGORY_RULES, f"concat_ws(' ', {_BLANK.format('subcategory')}, {_BLANK.format('source_sections')}, {_BLANK.format('notes')})")} END AS sub FROM section WHERE subcategory IS NOT NULL), {_MERGED}
+SELECT {", ".join(_COLUMNS)} FROM out""")
+def normalised_groups(spark, d) -> DataFrame:
+    """Twelve rows a property from rows as they were extracted: spelled otherwise, unknown, repeated or missing."""
+    rows = derived.table(spark, d, "section").where("subcategory IS NOT NULL").drop("system_name", "section_code")
+    return grid.normalise_systems(rows).select(*_COLUMNS)
+
+
+@query(f"""WITH {derived.ctes("section")}, row AS (SELECT * REPLACE (TRUE AS assessed, CAST(NULL AS VARCHAR) AS notes, nullif(trim(concat_ws(' ', {_BLANK.format('section_code')}, {_BLANK.format('system_name')})), '') AS source_sections), {_rule_sql(R.SUBCATEGORY_RULES, 'system_name')} AS sub FROM section WHERE subcategory IS NULL), {_MERGED}
+SELECT {", ".join(_COLUMNS)} FROM out UNION ALL SELECT {", ".join(_COLUMNS)} FROM section WHERE subcategory IS NOT NULL""")
+def migrated_groups(spark, d) -> DataFrame:
+    """Properties of the older layout brought to twelve rows, all others as they are; a second migration changes nothing."""
+    (once,) = verify._once((grid.migrate_legacy_systems(derived.table(spark, d, "section")),), work_folder(spark, "migrated"))
+    again = once.withColumns({"pos": F.lit(0), "system_name": F.lit(None).cast("string"), "section_code": F.lit(None).cast("string")})
+    return grid.migrate_legacy_systems(again).select(*_COLUMNS)

@@ -70,8 +70,16 @@ PAGE = """page AS (SELECT property_id, page_no, CASE page_no WHEN 1 THEN 'Prepar
     WHEN 2 THEN 'NV5 page two' WHEN 3 THEN CASE WHEN k % 2 = 0 THEN 'NV5 again' ELSE 'plain page' END ELSE CASE WHEN k % 2 = 0 THEN 'nv5 last' ELSE 'AEI was here' END END AS text
   FROM property CROSS JOIN (VALUES (1), (2), (3), (4)) AS pages(page_no) WHERE k % 10 <> 9)"""
 
-PARTS = {"item": ITEM, "sums": SUMS, "property": PROPERTY, "component": COMPONENT, "system": SYSTEM, "cell": CELL, "page": PAGE}
-NEEDS = {"item": [], "sums": ["item"], "property": ["item", "sums"], "component": ["item"], "system": ["item"], "cell": ["item", "sums", "property"], "page": ["item", "sums", "property"]}
+#: Sections as reports have them: by headings of their own in one order of three (the older layout), by subcategory in the others.
+HEADINGS = ["Roofing", "Plumbing systems", "Elevator", "Utilities", "Electrical service", "HVAC", "Regulatory Compliance", "ADA path of travel"]
+SPELLED = ["Roofing", "building envelope", "plumbing ", *R.SUBCATEGORIES[6:], "other", "laundry", "Utilities", "site_improvements", "Site Improvements"]
+SECTION = f"""section AS (SELECT 'p' || CAST(k AS STRING) AS property_id, row_idx AS pos, CASE WHEN k % 3 <> 0 THEN {pick(f"pk % {len(SPELLED)}", SPELLED)} END AS subcategory, CASE WHEN k % 3 = 0 THEN {pick(f"pk % {len(HEADINGS)}", HEADINGS)} END AS system_name,
+  CASE WHEN k % 3 = 0 AND pk % 5 <> 0 THEN '3.' || CAST(row_idx AS STRING) END AS section_code, {pick("pk % 4", ["good", "fair", None, "poor"])} AS condition, CASE WHEN pk % 6 = 0 THEN ' repair' WHEN pk % 6 = 1 THEN 'none' WHEN pk % 6 = 2 THEN '' END AS action_required,
+  {", ".join(f"CAST(CASE WHEN bucket = '{b}' THEN amount END AS DOUBLE) AS {f}" for b, f in MONEY.items())}, CASE WHEN k % 3 <> 0 AND pk % 3 = 0 THEN 'sec ' || CAST(pk % 4 AS STRING) END AS source_sections,
+  CASE WHEN k % 3 <> 0 AND pk % 7 = 0 THEN 'seen' END AS notes, CASE sk % 4 WHEN 0 THEN true WHEN 1 THEN false END AS assessed FROM item)"""
+
+PARTS = {"item": ITEM, "section": SECTION, "sums": SUMS, "property": PROPERTY, "component": COMPONENT, "system": SYSTEM, "cell": CELL, "page": PAGE}
+NEEDS = {"item": [], "section": ["item"], "sums": ["item"], "property": ["item", "sums"], "component": ["item"], "system": ["item"], "cell": ["item", "sums", "property"], "page": ["item", "sums", "property"]}
 NAMES = ("orders", "lineitem", "part")
 
 

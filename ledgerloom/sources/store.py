@@ -22,7 +22,7 @@ class Store:
     def _path(self, folder: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
 
-    def _exists(self) -> bool:
+    def exists(self) -> bool:
         p = self._path(f"{self.folder}/_SUCCESS")
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
@@ -53,7 +53,7 @@ class Store:
         incoming, staged = f"{self.folder}-incoming-{uuid.uuid4().hex}", f"{self.folder}-staged-{uuid.uuid4().hex}"
         self._bucketed(rows).write.parquet(incoming)  # read once, whatever it takes to make them
         new = self.spark.read.parquet(incoming)
-        if not self._exists():
+        if not self.exists():
             self._write(self._newest(new, order) if order else new, self.folder, "static")
         elif touched := sorted(r[0] for r in new.select("bucket").distinct().collect()):  # as many as there are buckets, at most
             old = self.spark.read.parquet(self.folder).where(F.col("bucket").isin(*touched))
