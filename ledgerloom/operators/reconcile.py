@@ -86,9 +86,9 @@ def row_reconcile(components: DataFrame) -> DataFrame:
 
 
 def row_arithmetic(df: DataFrame, quantity: str, unit: str, cost: str, exempt: Column | None = None) -> DataFrame:
-    """product, ratio and ok: quantity * unit price is the cost, or a whole multiple (1 to 20) of it."""
+    """product, ratio and ok: the cost is quantity * unit price, or a whole multiple (1 to 20) of it: what recurs."""
     product = F.col(quantity).cast("double") * F.col(unit).cast("double")
-    ratio = F.try_divide(product, F.col(cost).cast("double"))
+    ratio = F.try_divide(F.col(cost).cast("double"), product)
     whole = F.bround(ratio, 0)
     multiple = whole.between(1, 20) & (F.abs(ratio - whole) <= R.RATIO_GAP)
     ok = close(product, F.col(cost)) | F.coalesce(multiple, F.lit(False))

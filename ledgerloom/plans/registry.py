@@ -107,9 +107,9 @@ def classify_first_match(spark, d) -> DataFrame:
 
 
 @query(f"""SELECT n, matched, round_even(100.0 * matched / greatest(1, n), 1)::DOUBLE AS matched_pct FROM (
-  SELECT count(*) AS n, count(*) FILTER ({_case(NAME_RULES[:2], 'p_name', 'other')} <> 'other') AS matched FROM part)""")
+  SELECT count(*) AS n, count(*) FILTER ({_case(NAME_RULES, 'p_name', 'other')} <> 'other') AS matched FROM part)""")
 def classify_coverage(spark, d) -> DataFrame:
-    return rules.coverage(t(spark, d, "part"), rules.first_match(F.col("p_name"), NAME_RULES[:2]))
+    return rules.coverage(t(spark, d, "part"), rules.first_match(F.col("p_name"), NAME_RULES))
 
 
 @query("SELECT p_partkey, " + _case(NAME_RULES, "p_name", "other") + " AS label, CASE " + " ".join(f"WHEN regexp_matches(p_name, '{p}') THEN regexp_extract(p_name, '{p}', 0)" for _, p in NAME_RULES) + " END AS matched FROM part")
@@ -155,13 +155,13 @@ def ground_snippets(spark, d) -> DataFrame:
 
 
 @query(r"""WITH w AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+') AS w FROM documents), f AS (
-  SELECT doc_id, text, array_to_string(w[1:2], ' ') AS a, array_to_string(w[len(w)-1:len(w)], ' ') AS b FROM w WHERE len(w) >= 8), s AS (
+  SELECT doc_id, text, array_to_string(w[1:2], ' ') AS a, array_to_string(w[greatest(len(w)-1, 1):len(w)], ' ') AS b FROM w), s AS (
   SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN b ELSE a END AS a, CASE WHEN doc_id % 3 = 0 THEN a ELSE b END AS b FROM f)
-SELECT doc_id, CAST(2 AS BIGINT) AS n_fragments, strpos(text, a) > 0 AND strpos(substr(text, strpos(text, a) + length(a)), b) > 0 AS in_order FROM s""")
+SELECT doc_id, CAST(CASE WHEN a = '' THEN 0 ELSE 2 END AS BIGINT) AS n_fragments, a <> '' AND strpos(text, a) > 0 AND strpos(substr(text, strpos(text, a) + length(a)), b) > 0 AS in_order FROM s""")
 def ordered_fragments(spark, d) -> DataFrame:
     w = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
-    docs = t(spark, d, "documents").select("doc_id", "text", w.alias("w")).where(F.size("w") >= 8)
-    first, last = F.concat_ws(" ", F.slice("w", 1, 2)), F.concat_ws(" ", F.slice("w", -2, 2))
+    docs = t(spark, d, "documents").select("doc_id", "text", w.alias("w"))
+    first, last = F.concat_ws(" ", F.slice("w", 1, 2)), F.concat_ws(" ", F.slice("w", F.greatest(F.size("w") - 1, F.lit(1)), 2))
     turned = F.col("doc_id") % 3 == 0
     f = text.fragments(F.when(turned, F.concat(last, F.lit(" ... "), first)).otherwise(F.concat(first, F.lit(" … "), last)))
     return docs.select("doc_id", F.size(f).cast("long").alias("n_fragments"), text.contains_ordered(F.col("text"), f).alias("in_order"))
@@ -171,8 +171,8 @@ def ordered_fragments(spark, d) -> DataFrame:
 SELECT doc_id, kept, copies FROM documents JOIN k ON sha256(text) = h WHERE doc_id <> kept""")
 def dedupe_exact(spark, d) -> DataFrame:
     docs = t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
-    k = docs.groupBy("h").agg(F.min("doc_id").alias("kept"), F.count("*").alias("copies"))
-    return docs.join(k, "h").where("doc_id <> kept").select("doc_id", "kept", "copies")
+    kept = dedupe.keep_best(docs, ["h"], F.col("doc_id"), "doc_id")
+    return kept.where("doc_id <> kept").join(docs.groupBy("h").agg(F.count("*").alias("copies")), "h").select("doc_id", "kept", "copies")
 
 
 @query("""WITH f AS (SELECT doc_id, source, sha256(text) AS sha, text, n_chars FROM documents), k AS (SELECT sha, min(source || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS kept FROM f GROUP BY 1),
@@ -228,16 +228,24 @@ def merge_rows(spark, d) -> DataFrame:
     return grid.merge_rows(li, ["l_orderkey", "l_linenumber"], "pos", ["l_extendedprice"], ["flags"], [], "discounted")
 
 
-@query("""SELECT doc_id, TRY_CAST(replace(regexp_extract(text, '[0-9][0-9,]*(?:\\.[0-9]+)?', 0), ',', '') AS DOUBLE) AS first_number,
-  CAST(len(regexp_extract_all(text, '[0-9][0-9,]*(?:\\.[0-9]+)?')) AS BIGINT) AS n_numbers FROM documents""")
+_token = r"'(?:^|[^0-9-])(-?[0-9][0-9,]*(?:\.[0-9]+)?)'"
+_word_values = ", ".join(f"('{w}', {v})" for w, v in R.NUMBER_WORDS.items())
+
+
+@query(f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'One of them' WHEN doc_id % 9 = 1 THEN 'Single and double' ELSE text END AS text FROM documents), n AS (SELECT *, regexp_extract_all(text, {_token}, 1) AS n FROM d),
+w AS (SELECT doc_id, count(*) AS k, max(v) AS v FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM d) JOIN (VALUES {_word_values}) AS words(w, v) USING (w) GROUP BY 1)
+SELECT doc_id, CASE WHEN len(n) > 0 THEN TRY_CAST(replace(n[1], ',', '') AS DOUBLE) WHEN k = 1 THEN CAST(v AS DOUBLE) END AS first_number, CAST(coalesce(len(n), 0) AS BIGINT) AS n_numbers FROM n LEFT JOIN w USING (doc_id)""")
 def coerce_numbers(spark, d) -> DataFrame:
-    pattern = r"[0-9][0-9,]*(?:\.[0-9]+)?"
-    return t(spark, d, "documents").select("doc_id", text.bare(F.nullif(F.regexp_extract("text", pattern, 0), F.lit(""))).alias("first_number"), F.regexp_count("text", F.lit(pattern)).cast("long").alias("n_numbers"))
+    x = F.when(F.col("doc_id") % 9 == 0, "One of them").when(F.col("doc_id") % 9 == 1, "Single and double").otherwise(F.col("text"))
+    docs = t(spark, d, "documents").select("doc_id", x.alias("text"))
+    return docs.select("doc_id", text.number(F.col("text")).alias("first_number"), F.coalesce(F.size(text.all_numbers(F.col("text"))), F.lit(0)).cast("long").alias("n_numbers"))
 
 
 @query("SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.page') AS page FROM events")
 def parse_json_map(spark, d) -> DataFrame:
-    return t(spark, d, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"), F.get_json_object("props", "$.page").alias("page"))
+    said = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit("so: "), "props", F.lit(" it is"))).otherwise(F.col("props"))
+    e = t(spark, d, "events").select("event_id", "event_type", text.lenient_json(said, "k string, page string").alias("p"))
+    return e.select("event_id", "event_type", "p.k", "p.page")
 
 
 PAGE_MARKS = ["license", "copyright", "example.com", "the ", "token"]
@@ -262,12 +270,6 @@ def doc_profile(spark, d) -> DataFrame:
     return t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n_pages"), F.bround(F.lit(100.0) * F.count_if(F.length("text") > 50) / F.count("*"), 0).cast("int").alias("text_pct"), F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest"), F.sum("n_chars").alias("total"), F.median("n_chars").alias("middle"))
 
 
-@query()
-def page_profiles(spark, d) -> DataFrame:
-    pages = t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), "text")
-    return profile.profile(pages, front=2, budget=6)
-
-
 @query("""WITH s AS (SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS i, length(text) % 4 AS score, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
 r AS (SELECT doc_id, i, n, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS k FROM s WHERE i >= 1 AND score >= 2),
 m AS (SELECT s.doc_id, s.i, min(r.k) AS near FROM s JOIN r ON r.doc_id = s.doc_id AND abs(r.i - s.i) <= 1 WHERE s.i >= 1 GROUP BY 1, 2),
@@ -334,7 +336,7 @@ def partial_merge(spark, d) -> DataFrame:
 
 
 @query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity * p_retailprice AS product, l_extendedprice AS c FROM lineitem JOIN part ON p_partkey = l_partkey),
-y AS (SELECT *, CASE WHEN c = 0 THEN NULL ELSE product / c END AS ratio FROM x)
+y AS (SELECT *, CASE WHEN product = 0 THEN NULL ELSE c / product END AS ratio FROM x)
 SELECT count(*) AS n, count(*) FILTER (abs(product - c) <= greatest(1.0, abs(product) * 0.015) OR coalesce(round_even(ratio, 0) BETWEEN 1 AND 20 AND abs(ratio - round_even(ratio, 0)) <= 0.02, FALSE)) AS n_ok FROM y""")
 def arithmetic_rows(spark, d) -> DataFrame:
     li, p = t(spark, d, "lineitem", "part")
@@ -343,11 +345,12 @@ def arithmetic_rows(spark, d) -> DataFrame:
 
 
 @query("WITH x AS (SELECT o_orderkey, year(l_shipdate) - year(o_orderdate) + 1 AS term, CAST(l_extendedprice AS DECIMAL(18,2)) AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey) SELECT o_orderkey, "
-    + ", ".join(f"CAST(sum(c) FILTER (term = {i}) AS DOUBLE) AS year_{i}" for i in range(1, R.YEARS + 1)) + " FROM x GROUP BY 1")
+    + ", ".join(f"CAST(sum(c) FILTER (term = {i}) AS DOUBLE) AS year_{i}" for i in range(1, R.YEARS + 1)) + f", CAST(sum(c) FILTER (term BETWEEN 1 AND {R.YEARS}) AS DOUBLE) AS whole FROM x GROUP BY 1")
 def year_schedule_pivot(spark, d) -> DataFrame:
     o, li = t(spark, d, "orders", "lineitem")
     x = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", (F.year("l_shipdate") - F.year("o_orderdate") + 1).alias("term"), reconcile.money(F.col("l_extendedprice")).alias("c"))
-    return x.groupBy("o_orderkey").agg(*(F.sum(F.when(F.col("term") == i, F.col("c"))).cast("double").alias(f"year_{i}") for i in range(1, R.YEARS + 1)))
+    wide = x.groupBy("o_orderkey").agg(*(F.sum(F.when(F.col("term") == i, F.col("c"))).cast("double").alias(f"year_{i}") for i in range(1, R.YEARS + 1)))
+    return wide.withColumn("whole", F.round(reconcile.year_sum(), 2))
 
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS property_id, 'part' AS layer, 'p_size' AS field, 'range' AS kind, CAST(p_size AS VARCHAR) AS detail FROM part WHERE p_size < 5 OR p_size > 45")
@@ -384,9 +387,12 @@ def partition_keys(spark, d) -> DataFrame:
     return sinks.with_partitions(j, "n_name", "state").select("s_suppkey", "firm_key", "state_key")
 
 
-@query("""SELECT c.column_name AS "column", CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS non_null FROM (SELECT unnest(['r_regionkey', 'r_name']) AS column_name) c, (SELECT count(*) AS n FROM region)""")
+_LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "ordered"]
+
+
+@query("WITH x AS (SELECT *, CASE WHEN l_quantity > 25 THEN l_orderkey END AS ordered FROM lineitem) " + " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS n, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values FROM x""" for c in _LINE))
 def data_dictionary(spark, d) -> DataFrame:
-    return sinks.dictionary(t(spark, d, "region")).select("column", "n", "non_null")
+    return sinks.dictionary(t(spark, d, "lineitem").withColumn("ordered", F.when(F.col("l_quantity") > 25, F.col("l_orderkey"))).select(*_LINE), exact=True)
 
 
 @query("""SELECT row_number() OVER (ORDER BY lower(c_name) NULLS LAST, c_custkey) AS number, c_custkey, c_name FROM customer ORDER BY 1 LIMIT 25""")

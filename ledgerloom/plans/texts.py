@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import registries as R
 from ledgerloom.functions import folding, text
-from ledgerloom.operators import grounding
+from ledgerloom.operators import grounding, profile
 from ledgerloom.plans.registry import query, t
 from ledgerloom.sources.salvage import register
 
@@ -86,3 +87,70 @@ def salvage_verdicts(spark, d) -> DataFrame:
     register(spark)
     answers = spark.sql(ANSWER, orders=t(spark, d, "orders"))
     return spark.sql("SELECT k, v.* FROM {answers}, LATERAL salvage_verdicts(answer, array('a', 'b', 'c', 'd')) v", answers=answers)
+
+
+#: Conversations as documents: what they lack of a cost table is put in by place, some of it over the end of a turn.
+PROFILED = """SELECT conv_id AS doc_id, turn AS page_no, CASE WHEN (conv_id + turn) % 11 = 5 THEN '  ' ELSE coalesce(text, '') END || CASE (conv_id * 3 + turn) % 7 WHEN 0 THEN ' EUL and RUL, Unit Cost $1,000 $2,000 $3,000 $4,000 $5,000 $6,000' WHEN 1 THEN ' 2020 2021 2022 2023 total cost base' WHEN 2 THEN ' cost in Year 12. Replace' WHEN 3 THEN ' Percent by NV5 for Bridge House'
+  WHEN 4 THEN ' AEI consultants, yr 10, qty in' ELSE '' END AS text FROM {conversations}"""
+_contains = lambda hay, ps: "(" + " OR ".join(f"contains({hay}, '{p}')" for p in ps) + ")"
+_bare = {k: [profile._squashed(p) for p in ps if len(profile._squashed(p)) >= profile.LEAST_SQUASHED] for k, ps in profile.SHAPES}
+_shape = " ".join(f"WHEN {_contains('doc', ps)}{f' OR {_contains("bare", _bare[k])}' if _bare[k] else ''} THEN '{profile.SHAPE_NAMES[k]}'" for k, ps in profile.SHAPES)
+_life, _cost = _contains("low", ["eul", "expected life", "expected useful life"]), _contains("low", ["unit cost", "total cost", "present worth", "r-total", "immed. cost", "reserve cost"])
+_firms = ", ".join(f"({i}, '{n.replace(chr(39), chr(39) * 2)}', '{p.removeprefix('(?iu)')}')" for i, (n, p) in enumerate(R.FIRM_RULES) if n not in (R.FIRM_OTHER, "Partners"))
+_known = ", ".join(f"'{x}'" for x in profile.KNOWN_FIRMS)
+_flat = lambda x, n: f"substr(trim(regexp_replace({x}, '\\s+', ' ', 'g')), 1, {n})"
+FRONT, BUDGET = 2, 4
+
+
+@query(rf"""WITH src AS ({PROFILED.format(conversations="conversations")}), pg AS (SELECT *, lower(text) AS low, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_no) - 1 AS INT) AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM src),
+sc AS (SELECT *, {" + ".join(f"CAST(contains(low, '{m}') AS INT)" for m in profile.MARKERS)} + CASE WHEN len(regexp_extract_all(low, '\$\s?[0-9,]+')) >= 12 THEN 2 WHEN len(regexp_extract_all(low, '\$\s?[0-9,]+')) >= 6 THEN 1 ELSE 0 END
+    + CASE WHEN regexp_matches(low, '\b20[0-9][0-9]\b(?:\s+\b20[0-9][0-9]\b){{3,}}') THEN 2 ELSE 0 END >= 2 AS marked, {" + ".join(f"CAST(contains(low, '{c}') AS INT)" for c in profile.COLUMN_NAMES)} AS cols, len(regexp_extract_all(low, '[0-9]')) / greatest(1, length(low)) AS digits,
+    ({_life} AND {_cost}) OR (contains(low, 'capital considerations') AND contains(low, 'present worth')) OR contains(low, 'reflective age') OR contains(low, 'overall expected life') AS header, least({FRONT}, n) AS head FROM pg),
+nb AS (SELECT *, (marked OR coalesce(lag(marked) OVER w, FALSE) OR coalesce(lead(marked) OVER w, FALSE)) AND i >= head AS tail FROM sc WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+a AS (SELECT doc_id, count(*) AS pages, count(*) FILTER (length(regexp_replace(text, '^\s+|\s+$', '', 'g')) > 50) AS with_text, count(*) FILTER (marked) AS marker_pages, min(i + 1) FILTER (marked) AS first_marker, max(i + 1) FILTER (marked) AS last_marker, count(*) FILTER (tail) AS n_tail, max(head) AS head,
+  string_agg(low, ' ' ORDER BY i) AS doc, string_agg(regexp_replace(low, '[^a-z0-9]', '', 'g'), '' ORDER BY i) AS bare, max(text) FILTER (i = 0) AS cover, sum(strlen(text)) AS length FROM nb GROUP BY 1),
+pk AS (SELECT doc_id, i, header, text, low FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY header DESC, cols DESC, digits DESC, i) AS r FROM nb WHERE marked) WHERE r = 1),
+rule(rank, label, pattern) AS (VALUES {_firms}), v AS (SELECT doc_id, rank, label, count(*) AS hits, min(page_no) AS first FROM pg JOIN rule ON regexp_matches(regexp_replace(low, '{R.CLIENTS}', ' ', 'g'), pattern) GROUP BY 1, 2, 3),
+b AS (SELECT doc_id, label, hits FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, first, rank) AS r FROM v) WHERE r = 1),
+j AS (SELECT a.*, coalesce(label, 'UNKNOWN') AS firm, coalesce(hits, 0) AS firm_pages, CAST(round_even(100.0 * with_text / pages, 0) AS INT) AS pct, pages <= {BUDGET} OR n_tail <= {BUDGET} - head AS fits, pk.i AS best_i, pk.header, pk.text AS best, pk.low AS best_low FROM a LEFT JOIN b USING (doc_id) LEFT JOIN pk USING (doc_id))
+SELECT doc_id, pages, CAST(round_even(length / 1e6, 1) AS DOUBLE) AS mb, firm, firm IN ({_known}) AS firm_known, pct AS text_pages_pct, marker_pages, first_marker, last_marker, CASE WHEN marker_pages > 0 THEN last_marker - 1 < {FRONT} END AS front_covers_tables, fits AS fits_budget,
+  CASE WHEN pages <= {BUDGET} THEN pages ELSE head + least(n_tail, {BUDGET} - head) END AS pages_to_send, substr(sha1(regexp_replace(cover, '^\s+|\s+$', '', 'g')), 1, 12) AS sha1_first_page, {_flat("cover", profile.COVER)} AS cover_sample, best_i + 1 AS table_page, coalesce(header, FALSE) AS has_header,
+  CASE {_shape} ELSE 'UNCLASSIFIED' END AS table_shape, CASE WHEN regexp_matches(doc, 'year 12|yr 12') THEN 12 WHEN regexp_matches(doc, 'year 10|yr 10') THEN 10 END AS eval_period, firm_pages,
+  coalesce({_flat(f"substr(best, CASE WHEN strpos(best_low, 'eul') > 0 THEN greatest(strpos(best_low, 'eul') - {profile.BEFORE}, 1) ELSE 1 END, {profile.FROM})", profile.SAMPLE)}, '') AS table_sample,
+  concat_ws('; ', CASE WHEN pct < 20 THEN 'NO_TEXT_LAYER(scanned?)' END, CASE WHEN firm = 'UNKNOWN' THEN 'FIRM_UNRECOGNISED' WHEN firm NOT IN ({_known}) THEN 'NEW_FIRM' END, CASE WHEN marker_pages = 0 THEN 'NO_TABLE_MARKERS' END, CASE WHEN NOT fits THEN 'TABLES_EXCEED_BUDGET(need ' || (head + n_tail) || ')' END) AS risk_flags
+FROM j""")
+def page_profiles(spark, d) -> DataFrame:
+    """All 21 columns of a document's profile."""
+    pages = spark.sql(PROFILED, conversations=t(spark, d, "conversations"))
+    files = pages.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("length"))
+    return profile.corpus_profile(pages, files, FRONT, BUDGET)
+
+
+#: Turns as scored pages of a size; the cells cite places in the slice.
+SIZED = "SELECT conv_id AS doc_id, turn AS page_no, CAST(length(coalesce(text, '')) % 4 AS INT) AS score, CAST(length(coalesce(text, '')) AS BIGINT) AS size FROM {conversations}"
+
+
+def _slices(fronts: list[int], budget: int, least: int, most: int) -> str:
+    """Slices in SQL: each length of the front by itself, then the first that fits, then what must go."""
+    return f"""s AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page_no) - 1 AS INT) AS i, count(*) OVER (PARTITION BY doc_id) AS n, bool_or(score >= 2) OVER (PARTITION BY doc_id) AS tables, sum(size) OVER (PARTITION BY doc_id) AS total FROM ({SIZED.format(conversations="conversations")})),
+tr(k, front) AS (VALUES {", ".join(f"({k}, {f})" for k, f in enumerate(fronts))}), e AS (SELECT s.*, k, least(front, {budget}, n) AS head, n <= {budget} AND total <= {most} AS entire FROM s CROSS JOIN tr WHERE tables OR k = 0),
+r AS (SELECT doc_id, k, i, row_number() OVER (PARTITION BY doc_id, k ORDER BY score DESC, i) AS rank FROM e WHERE i >= head AND score >= 2),
+m AS (SELECT e.doc_id, e.k, e.i, min(r.rank) AS near FROM e JOIN r ON r.doc_id = e.doc_id AND r.k = e.k AND abs(r.i - e.i) <= 1 WHERE e.i >= e.head GROUP BY 1, 2, 3),
+c AS (SELECT m.*, (SELECT count(*) FROM m x WHERE x.doc_id = m.doc_id AND x.k = m.k AND x.near < m.near) AS before FROM m),
+t AS (SELECT doc_id, k, i FROM (SELECT c.*, head, row_number() OVER (PARTITION BY doc_id, k ORDER BY i) AS place FROM c JOIN (SELECT DISTINCT doc_id, k, head FROM e) h USING (doc_id, k) WHERE before < {budget} - head) WHERE place <= {budget} - head),
+x AS (SELECT e.*, CASE WHEN entire THEN TRUE WHEN tables THEN i < head OR t.i IS NOT NULL ELSE i < {budget} END AS taken, r.rank FROM e LEFT JOIN t USING (doc_id, k, i) LEFT JOIN r USING (doc_id, k, i)),
+y AS (SELECT *, sum(CASE WHEN taken THEN size ELSE 0 END) OVER (PARTITION BY doc_id, k) AS weight FROM x), z AS (SELECT *, coalesce(min(CASE WHEN weight <= {most} THEN k END) OVER (PARTITION BY doc_id), max(k) OVER (PARTITION BY doc_id)) AS chosen FROM y),
+q AS (SELECT *, taken AND i >= {least} AND weight - coalesce((SELECT sum(o.size) FROM z o WHERE o.doc_id = z.doc_id AND o.k = z.k AND o.taken AND o.i >= {least} AND (o.score, -o.i) < (z.score, -z.i)), 0) > {most} AS gone FROM z WHERE k = chosen),
+slices AS (SELECT doc_id, coalesce(list(i ORDER BY i) FILTER (taken AND NOT gone), []) AS pages, coalesce(list(i ORDER BY rank) FILTER (rank IS NOT NULL AND NOT taken AND tables AND NOT entire), CAST([] AS INT[])) AS missed, coalesce(list(i ORDER BY i) FILTER (gone), CAST([] AS INT[])) AS dropped, bool_and(NOT tables AND NOT entire) AS blind FROM q GROUP BY 1)"""
+
+
+@query(f"WITH {_slices([3, 2, 1], 5, 1, 900)} SELECT * FROM slices")
+def page_slices(spark, d) -> DataFrame:
+    return profile.slice_pages(spark.sql(SIZED, conversations=t(spark, d, "conversations")), 900, 3, 5, 1, 1)
+
+
+@query(f"""WITH {_slices([3, 2, 1], 5, 1, 900)} SELECT conv_id AS doc_id, turn, CAST(CASE WHEN turn + 1 <= len(pages) THEN pages[turn + 1] + 1 ELSE turn + 1 END AS INT) AS page FROM conversations JOIN slices ON doc_id = conv_id""")
+def original_pages(spark, d) -> DataFrame:
+    """Each turn cites its own place in the slice, and gets the page that stands there."""
+    c = t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", (F.col("turn") + 1).cast("int").alias("page"))
+    return profile.original_pages(c, page_slices(spark, d))

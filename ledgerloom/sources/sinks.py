@@ -36,8 +36,10 @@ def partitioned(df: DataFrame, folder: str, firm: str, state: str, files: int =
     out.repartition("firm_key", "state_key", "__spread").drop("__spread").write.mode("overwrite").partitionBy("firm_key", "state_key").parquet(folder)
 
 
-def dictionary(df: DataFrame) -> DataFrame:
-    """column, n, non_null, distinct_values of each column: one aggregate, then one row a column."""
-    a = df.agg(F.count("*").alias("n"), *(F.struct(F.count(c).alias("k"), F.approx_count_distinct(c).alias("d")).alias(c) for c in df.columns))
+def dictionary(df: DataFrame, exact: bool = False) -> DataFrame:
+    """column, n, non_null, distinct_values of each column: one aggregate, then one row a column. Distinct values are
+    estimated, or counted exactly, which shuffles every value of every column."""
+    distinct = F.count_distinct if exact else F.approx_count_distinct
+    a = df.agg(F.count("*").alias("n"), *(F.struct(F.count(c).alias("k"), distinct(c).alias("d")).alias(c) for c in df.columns))
     rows = F.array(*(F.struct(F.lit(c).alias("column"), F.col("n"), F.col(c)["k"].alias("non_null"), F.col(c)["d"].alias("distinct_values")) for c in df.columns))
     return a.select(F.explode(rows).alias("r")).select("r.*")

@@ -27,8 +27,8 @@ def test_vacuous_immediate(spark):
 
 
 def test_row_arithmetic(spark):
-    df = spark.createDataFrame([(10.0, 5.0, 50.0), (10.0, 5.0, 25.0), (10.0, 5.0, 37.0), (None, 5.0, 1.0), (1.0, 1.0, 0.0)], "q double, u double, c double")
-    assert [r.ok for r in reconcile.row_arithmetic(df, "q", "u", "c").collect()] == [True, True, False, True, True]
+    df = spark.createDataFrame([(10.0, 5.0, 50.0), (10.0, 5.0, 100.0), (10.0, 5.0, 25.0), (10.0, 5.0, 37.0), (None, 5.0, 1.0), (1.0, 1.0, 0.0)], "q double, u double, c double")
+    assert [r.ok for r in reconcile.row_arithmetic(df, "q", "u", "c").collect()] == [True, True, False, False, True, True]
 
 
 def test_system_issues(spark):
@@ -100,13 +100,67 @@ def test_profile(spark):
     assert {r.doc_id: (r.pages, r.missed) for r in profile.select_pages(rows, 2, 5).collect()} == want
     assert {r.doc_id: (r.pages, r.missed) for r in profile.select_pages(rows.where("doc_id = 'a'"), 2, 2).collect()} == {"a": ([0, 1], [3, 6])}
     pages = spark.createDataFrame([("d", 0, "cover page " * 10), ("d", 1, text), ("d", 2, "x")], "doc_id string, page_no int, text string")
-    r = profile.profile(pages, front=1, budget=5).first()
-    assert (r.n_pages, r.text_pct, r.n_tables, r.best_page, r.table_shape) == (3, 67, 1, 1, "UNCLASSIFIED")
+    r = profile.corpus_profile(pages, front=1, budget=5).first()
+    assert (r.pages, r.text_pages_pct, r.marker_pages, r.table_page, r.table_shape, r.firm, r.risk_flags) == (3, 67, 1, 2, "UNCLASSIFIED", "UNKNOWN", "FIRM_UNRECOGNISED") and len(r) == 21
+    seam = spark.createDataFrame([("d", 0, "all cycle"), ("d", 1, ""), ("d", 2, "re-place percent in Yr"), ("d", 3, "10 of NV5"), ("e", 0, "replace"), ("e", 1, "per cents in 12 years")], "doc_id string, page_no int, text string")
+    assert {r.doc_id: (r.table_shape, r.eval_period, r.firm) for r in profile.corpus_profile(seam).collect()} == {"d": (profile.SHAPE_NAMES["A"], 10, "NV5"), "e": (profile.SHAPE_NAMES["A"], None, "UNKNOWN")}
     assert profile.select_pages(profile.score_pages(pages), 1, 3).first().pages == [0, 1, 2]
     shapes = spark.createDataFrame([("YEARTOTAL here",), ("Replace  Percent",), ("base cost",)], "t string").select(profile.table_shape(F.col("t"))).collect()
     assert [r[0] for r in shapes] == ["UNCLASSIFIED", "A", "C"]
 
 
+def sliced(scores, sizes, most, front, budget, least, step):
+    """The slice of one document, page by page."""
+    n, tables = len(scores), any(x >= 2 for x in scores)
+    if n <= budget and sum(sizes) <= most:
+        return list(range(n)), [], [], False
+    while True:
+        head = list(range(min(front, budget, n)))
+        ranked = sorted((i for i in range(len(head), n) if scores[i] >= 2), key=lambda i: (-scores[i], i))
+        room, keep = max(0, budget - len(head)), set()
+        for i in ranked:
+            keep |= {j for j in (i - 1, i, i + 1) if len(head) <= j < n}
+            if len(keep) >= room:
+                break
+        tail = sorted(keep)[:room]
+        pages, missed = (head + tail, [i for i in ranked if i not in tail]) if tables else (list(range(min(budget, n))), [])
+        if sum(sizes[i] for i in pages) <= most or not tables or front <= least:
+            break
+        front = max(least, front - step)
+    dropped = []
+    while sum(sizes[i] for i in pages) > most and any(i >= least for i in pages):
+        dropped.append(min((i for i in pages if i >= least), key=lambda i: (scores[i], -i)))
+        pages.remove(dropped[-1])
+    return pages, missed, sorted(dropped), not tables
+
+
+def test_slices_equal_those_made_page_by_page(spark):
+    import random
+
+    r, docs = random.Random(5), {}
+    for d in range(120):
+        n = r.randrange(1, 14)
+        docs[d] = [r.choice([0, 0, 1, 2, 3]) if d % 5 else 0 for _ in range(n)], [r.randrange(1, 9) for _ in range(n)]
+    rows = spark.createDataFrame([(d, i, x, y) for d, (xs, ys) in docs.items() for i, (x, y) in enumerate(zip(xs, ys))], "doc_id int, page_no int, score int, size int")
+    got = {x.doc_id: (x.pages, x.missed, x.dropped, x.blind) for x in profile.slice_pages(rows, 20, 5, 7, 1, 2).collect()}
+    assert got == {d: sliced(*v, 20, 5, 7, 1, 2) for d, v in docs.items()}
+    assert any(v[2] for v in got.values()) and any(v[3] for v in got.values()) and any(v[1] for v in got.values())
+    # a page that is cited by its place in the slice comes back as the page of the document that stands there
+    slices = spark.createDataFrame([(d, v[0]) for d, v in got.items()], "doc_id int, pages array<int>")
+    cells = spark.createDataFrame([(d, k + 1) for d, v in got.items() for k in range(len(v[0]))] + [(0, 99), (0, 0), (0, None)], "doc_id int, page int")
+    back = profile.original_pages(cells, slices).collect()
+    assert sorted((x.doc_id, x.page) for x in back if x.page not in (99, 0, None)) == sorted((d, i + 1) for d, v in got.items() for i in v[0]) and sum(x.page in (99, 0, None) for x in back) == 3
+
+
+def test_review_slice(spark):
+    cells = spark.createDataFrame([("d", "a", 5), ("d", "b", 9), ("d", "b", 5), ("d", "c", 1), ("d", "a", -2), ("d", "a", None)], "doc_id string, field string, page int")
+    cited = profile.cited_pages(cells, ["a", "b"])
+    assert cited.first().cited == [5, 9]
+    sizes = spark.createDataFrame([("d", i, 10 * (i == 4) + 1) for i in range(10)], "doc_id string, i int, size int")
+    of = lambda most, cap=26: profile.review_slice(cited, sizes, most, 2, cap).first().pages
+    assert of(100) == [0, 1, 3, 4, 5, 7, 8, 9] and of(17) == [0, 1, 3, 5, 7, 8, 9] and of(6) == [0, 1, 5, 7, 8, 9] and of(1) == [0, 1] and of(100, 4) == [0, 1, 3, 4]
+
+
 def test_files_and_sinks(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "A b.json").write_text('{"property": {"city": {"value": "X", "page": 1, "snippet": "s", "confidence": 0.5}}, "_prompt_version": "v"}')
