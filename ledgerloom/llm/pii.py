@@ -58,18 +58,20 @@ def _mod97(m: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
 
 
-def _valid(kind: str, m: Column) -> tuple[Column, Column]:
-    """Whether a match may stand at all, and whether a checksum confirms it."""
-    d, yes, no = _digits(m), F.lit(True), F.lit(False)
-    if kind == "ip":
-        return m.rlike(rf"^{PART}\.{PART}\.{PART}\.{PART}$"), no
-    if kind == "card":
-        return F.length(d).between(16, 19) & F.call_function("luhn_check", d), yes
-    if kind == "phone":
-        return F.length(d).between(8, 15), no
-    if kind == "iban":
-        return _mod97(m), yes
-    return yes, no
+def _valid(kind: Column, m: Column) -> Column:
+    """Whether a match may stand at all."""
+    d = _digits(m)
+    return (
+        F.when(kind == "ip", m.rlike(rf"^{PART}\.{PART}\.{PART}\.{PART}$")).when(kind == "card", F.length(d).between(16, 19) & F.call_function("luhn_check", d))
+        .when(kind == "phone", F.length(d).between(8, 15)).when(kind == "iban", _mod97(m)).otherwise(F.lit(True))
+    )
+
+
+def _of_kind(kind: Column, values: dict[str, Column], other: Column) -> Column:
+    out = None
+    for k, v in values.items():
+        out = (F.when if out is None else out.when)(kind == k, v)
+    return out.otherwise(other)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -109,42 +111,42 @@ def cut(pieces: Column, start: Column, end: Column) -> Column:
     return F.substr(some, F.greatest(start, F.lit(0)) - first * BLOCK + 1, F.greatest(end - F.greatest(start, F.lit(0)), F.lit(0)))
 
 
-def proposals(text: Column, pattern: str) -> Column:
-    """array<struct<m, start, end>> of the pattern's matches, leftmost first and not overlapping."""
-    parts = F.split(F.regexp_replace(F.translate(text, MARK, OTHER), pattern, f"{MARK}$0{MARK}"), MARK)
-    none = F.array().cast("array<struct<m string, start int, end int>>")
+def marked(text: Column, pattern: str) -> Column:
+    """The text cut at the ends of the pattern's matches: every other piece, from the second on, is a match."""
+    return F.split(F.regexp_replace(F.translate(text, MARK, OTHER), pattern, f"{MARK}$0{MARK}"), MARK)
 
-    def placed(p: Column) -> Column:
-        of = lambda starts: F.transform(F.sequence(F.lit(1), F.size(p) - 1, F.lit(2)), lambda i: F.struct(F.get(p, i).alias("m"), F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(F.get(p, i))).alias("end")))
-        return F.when(F.size(p) > 1, let(let(F.transform(p, lambda x: F.length(x)), lambda n: running(n, add)), of)).otherwise(none)
 
-    return let(parts, placed)
+def placed(pieces: Column) -> Column:
+    """array<struct<m, start, end>> of the matches among the pieces, leftmost first and not overlapping."""
+    none = F.array().cast("array<struct<m string, start int, end int>>")
+    of = lambda starts: F.transform(F.sequence(F.lit(1), F.size(pieces) - 1, F.lit(2)), lambda i: F.struct(F.get(pieces, i).alias("m"), F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(F.get(pieces, i))).alias("end")))
+    return F.when(F.size(pieces) > 1, let(let(F.transform(pieces, lambda x: F.length(x)), lambda n: running(n, add)), of)).otherwise(none)
 
 
 SPAN = "struct<kind string, start int, end int, score double>"
 
 
 def spans(text: Column) -> Column:
-    """array<struct<kind, start, end, score>> by kind as listed, then start."""
+    """array<struct<kind, start, end, score>> by kind as listed, then start.
+
+    Only the patterns are applied kind by kind; places, checks and scores are one expression over an array of all kinds.
+    """
     t = F.coalesce(text, F.lit(""))
-    empty = F.array().cast(f"array<{SPAN}>")
-
-    def of(kind: str, pattern: str, base: float, words: str) -> Column:
-        def scored(p: Column, pieces: Column | None) -> Column:
-            valid, checked = _valid(kind, p["m"])
-            score = F.lit(base) + F.when(checked, CHECKED).otherwise(0.0)
-            if words:
-                start = F.greatest(p["start"] - CONTEXT, F.lit(0))
-                near = cut(pieces, start, start + p["end"] - p["start"] + 2 * CONTEXT)
-                score = score + F.when(near.rlike(f"(?i){words}"), NEARBY).otherwise(0.0)
-            return F.struct(F.lit(kind).alias("kind"), p["start"].alias("start"), p["end"].alias("end"), F.when(valid, score).otherwise(F.lit(0.0)).alias("score"))
-
-        all_ = lambda pieces: F.filter(F.transform(proposals(t, pattern), lambda p: scored(p, pieces)), lambda s: s["score"] >= ACCEPT)
-        found = F.when(t.rlike(pattern), let(blocks(t), all_)).otherwise(empty) if words else all_(None)
-        needed = t.contains(NEEDS[kind]) if kind in NEEDS else t.rlike("[0-9]")
-        return F.when(needed, found).otherwise(empty)
-
-    return F.concat(*(of(k, p, b, w) for k, p, _, b, w in KINDS))
+    needed = lambda kind: t.contains(NEEDS[kind]) if kind in NEEDS else t.rlike("[0-9]")
+    every = F.array(*(F.struct(F.lit(k).alias("kind"), F.when(needed(k), marked(t, p)).otherwise(F.array().cast("array<string>")).alias("pieces")) for k, p, *_ in KINDS))
+    found = F.transform(F.filter(every, lambda e: F.size(e["pieces"]) > 1), lambda e: F.struct(e["kind"].alias("kind"), placed(e["pieces"]).alias("found")))
+    bases = {k: F.lit(base) for k, _, _, base, _ in KINDS}
+
+    def scored(kind: Column, p: Column, blocks_: Column) -> Column:
+        start = F.greatest(p["start"] - CONTEXT, F.lit(0))
+        asked = {k: words for k, _, _, _, words in KINDS if words}
+        near = cut(blocks_, start, start + p["end"] - p["start"] + 2 * CONTEXT)
+        told = F.when(kind.isin(*asked), let(near, lambda n: _of_kind(kind, {k: n.rlike(f"(?i){words}") for k, words in asked.items()}, F.lit(False)))).otherwise(F.lit(False))
+        score = _of_kind(kind, bases, F.lit(0.0)) + F.when(kind.isin("card", "iban"), CHECKED).otherwise(0.0) + F.when(told, NEARBY).otherwise(0.0)
+        return F.struct(kind.alias("kind"), p["start"].alias("start"), p["end"].alias("end"), F.when(_valid(kind, p["m"]), score).otherwise(F.lit(0.0)).alias("score"))
+
+    accepted = lambda f, blocks_: F.flatten(F.transform(f, lambda e: F.filter(F.transform(e["found"], lambda p: scored(e["kind"], p, blocks_)), lambda s: s["score"] >= ACCEPT)))
+    return let(found, lambda f: F.when(F.size(f) > 0, let(blocks(t), lambda b: accepted(f, b))).otherwise(F.array().cast(f"array<{SPAN}>")))
 
 
 def _without_inner(every: Column) -> Column:
