@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, langid, mixing, ngram_join, pii
-from ledgerloom.llm.common import free, prepare
+from ledgerloom.llm.common import free, prepare, remove
 
 #: Texts whose best profile fits worse than this are no text of a learned language. Running prose scores above 0.35.
 LEAST_SCORE = 0.15
@@ -28,14 +28,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest doc_id stays. Empty texts are in no group and stay."""
+    """Of each group of near copies the smallest doc_id stays. Empty texts are in no group and stay, as do rows without a doc_id."""
     return ngram_join.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows stay; spans in their texts become <KIND>, and n_chars follows. Null and empty texts stay as they are."""
     clean = pii.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*(F.col(f"`{c}`") for c in docs.columns)) if "n_chars" in docs.columns else clean
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,4 +66,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
