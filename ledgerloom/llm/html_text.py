@@ -3,7 +3,8 @@
 The markup is read once, left to right, into flat blocks: text between block-level tags. A block has its word count and
 link density, those of its neighbours, whether it stands in article-like markup or in markup that pages use for what
 isn't the article (nav, header, footer, aside, form, ... or a class, id or role that says so; of html and body, and of what
-surrounds an article or main, class names say nothing), and whether it's a heading. An a without href is no link. A CART tree, grown here from labelled blocks by Gini impurity, says which blocks are content. Scripts, styles,
+surrounds an article or main, class names say nothing), and whether it's a heading. An a without href is no link. A CART tree, grown here from labelled blocks by Gini impurity over all these, says which blocks are content. Of class names a whole name must say that something isn't the article
+(social-links, not social-history), those of paragraphs and headings inside the article say nothing, and inline adverts are left out. Scripts, styles,
 comments and the document's head never become blocks. Character references are decoded; inside a block white space
 becomes one space; content blocks are joined in page order by one space.
 
@@ -17,6 +18,7 @@ import html as _html
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +34,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id and role that mark markup as not the article, and as the article.
 BAD = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|sidebar|side|footer|header|masthead|breadcrumb\w*|cookie\w*|consent|notice\w*|alert|popup|modal|newsletter|subscribe|signup|share|social|related|recommend\w*|comment\w*|reply|replies|disqus|widget|toolbar|pagination|pager|copyright|legal|login|search|navigation|complementary|contentinfo|hidden|skip)(?:[\s_-]|$)", re.I)
+#: Words that such a name may hold beside: social-links is the page's, social-history isn't. Names that hold a word of GOOD are the article's own.
+BESIDE = frozenset("list links link buttons button bar box wrapper wrap container block blocks area section slot unit group inner outer item items panel posts form icons icon row col top bottom left right main primary secondary global site page fixed sticky inline small large mobile desktop text message messages content js no the and".split())
+#: Text-level elements, whose class names say how they look and not what they are; inline ones, of which only adverts are left out.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th caption figcaption".split())
+INLINE = frozenset("span b i em strong small u s mark font ins q cite label abbr".split())
+ADVERT = re.compile(r"(?:^|\s)(?:ads?|advert\w*|sponsor\w*|promo\w*)(?:\s|$)", re.I)
 #: Names such as has-sidebar or no-comments say what the page has, not what the element is.
 MENTION = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|not|with|without)[_-][^\s]*", re.I)
 GOOD = re.compile(r"(?:^|[\s_-])(?:article\w*|post|entry|story|content|main|body|text)(?:[\s_-]|$)", re.I)
@@ -40,6 +48,18 @@ ATTR = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 HREF = re.compile(r"\shref\s*=", re.I)
 UNSEEN = re.compile(r"\shidden(?:[\s=>/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
+
+
+def misplaced(marks: str) -> bool:
+    """Whether a name among the marks says that the element isn't of the article: a word of BAD, with none but such words or those of BESIDE."""
+    for name in marks.split():
+        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        bad = [bool(BAD.fullmatch(w)) for w in words]
+        if any(bad) and all(b or w.lower() in BESIDE for b, w in zip(bad, words, strict=True)):
+            return True
+    return False
+
+
 FEATURES = ("words", "link_density", "prev_words", "prev_link_density", "next_words", "next_link_density", "chrome", "article", "heading", "page_has_article")
 #: Blocks of nine pages of the pages table, in page order: part (n: navigation, x: advert, a: article, f: footer), words, link density, heading.
 PAGES = (
@@ -58,8 +78,8 @@ LABELLED = (
     # inside the article: text with links, between text and beside lists
     (45, 0.2, 60, 0.0, 8, 0.0, 0, 1, 0, 1, 1), (12, 0.3, 80, 0.0, 90, 0.0, 0, 1, 0, 1, 1), (70, 0.1, 1, 1.0, 2, 0.5, 0, 1, 0, 1, 1), (30, 0.4, 20, 0.0, 25, 0.0, 0, 1, 0, 1, 1),
     (5, 0.4, 40, 0.0, 45, 0.0, 0, 1, 0, 1, 1), (25, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0, 1, 1), (18, 0.0, 14, 0.0, 3, 1.0, 0, 1, 0, 1, 1), (9, 0.45, 12, 0.0, 60, 0.0, 0, 1, 1, 1, 1),
-    # inside it, but lists of links
-    (3, 1.0, 45, 0.0, 3, 1.0, 0, 1, 0, 1, 0), (5, 0.9, 3, 1.0, 4, 1.0, 0, 1, 0, 1, 0), (15, 1.0, 40, 0.0, 40, 0.0, 0, 1, 0, 1, 0), (8, 0.8, 5, 0.9, 20, 0.0, 0, 1, 0, 1, 0),
+    # inside it, too: paragraphs and lists that are links
+    (3, 1.0, 45, 0.0, 3, 1.0, 0, 1, 0, 1, 1), (5, 0.9, 3, 1.0, 4, 1.0, 0, 1, 0, 1, 1), (15, 1.0, 40, 0.0, 40, 0.0, 0, 1, 0, 1, 1), (8, 0.8, 5, 0.9, 20, 0.0, 0, 1, 0, 1, 1), (4, 1.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1, 1), (4, 1.0, 30, 0.0, 0, 0.0, 0, 1, 0, 1, 1),
     # inside it, but in forms, asides, comments
     (25, 0.0, 45, 0.0, 20, 0.0, 1, 1, 0, 1, 0), (20, 0.1, 25, 0.0, 0, 0.0, 1, 1, 0, 1, 0), (80, 0.0, 60, 0.0, 9, 0.0, 1, 1, 0, 1, 0), (2, 0.0, 80, 0.0, 60, 0.0, 1, 1, 1, 1, 0),
     # beside it
@@ -71,6 +91,8 @@ LABELLED = (
     (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (400, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (22, 0.3, 60, 0.0, 10, 0.0, 0, 0, 0, 0, 1), (9, 0.0, 20, 0.0, 20, 0.0, 0, 0, 0, 0, 1), (1, 0.0, 12, 0.0, 15, 0.0, 0, 0, 0, 0, 1),
     # ... which ends with a paragraph, where no footer follows
     (40, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (25, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (33, 0.0, 8, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (90, 0.0, 5, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (60, 0.1, 120, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (150, 0.0, 22, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
+    # ... or with a line of a few words, which is a footer after running text, and the text where nothing else is
+    (3, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 0, 0), (4, 0.0, 35, 0.0, 0, 0.0, 0, 0, 0, 0, 0), (5, 0.0, 90, 0.0, 0, 0.0, 0, 0, 0, 0, 0), (2, 0.0, 45, 0.0, 0, 0.0, 0, 0, 0, 0, 0), (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (3, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1),
     # ... and its link lists
     (2, 1.0, 2, 1.0, 35, 0.0, 0, 0, 0, 0, 0), (6, 0.9, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 0), (20, 0.6, 90, 0.0, 20, 0.6, 0, 0, 0, 0, 0), (1, 1.0, 40, 0.0, 40, 0.0, 0, 0, 0, 0, 0),
 )
@@ -80,8 +102,13 @@ def labelled() -> tuple:
     """The training rows. Each of PAGES is read as it is, without its footer, as the article alone, and as it is but without telling markup.
 
     So what the markup says counts where there is markup, and counts and densities of a block and its neighbours where there is none.
+    Markup that says something is met beside short and long neighbours alike: a footer after a word, an article that is a link.
     """
     rows = []
+    for words, before, after in product((1, 4, 12, 40), (0, 1, 6, 40), (0, 1, 12)):
+        near = (before, 0.0, after, 0.0)
+        rows += [(words, 0.0, *near, 1, inside, 0, has, 0) for inside, has in ((0, 0), (0, 1), (1, 1))]
+        rows += [(words, density, *near, 0, 1, 0, 1, 1) for density in (0.0, 1.0)]
     for page in PAGES:
         for parts, readings in (("nxaf", (1, 0)), ("nxa", (1,)), ("a", (1,))):
             some = [b for b in page if b[0] in parts]
@@ -113,9 +140,8 @@ def grow(rows: tuple, depth: int = 8) -> tuple | int:
 
 @lru_cache(1)
 def tree() -> tuple | int:
-    """The first question is whether the page marks its article at all; below it, the tree grows on the rows of either kind."""
-    ask, rows = FEATURES.index("page_has_article"), labelled()
-    return ask, 0.5, grow(tuple(r for r in rows if not r[ask])), grow(tuple(r for r in rows if r[ask]))
+    """One tree over all rows; which question comes first is found by growing it, too."""
+    return grow(labelled(), 12)
 
 
 def decide(node: tuple | int, x: tuple) -> int:
@@ -169,6 +195,11 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
                 if name == "hr":
                     close()
                 continue
+            if name in INLINE and m[4] and any(ADVERT.search(a or b or c) for a, b, c in ATTR.findall(m[4])):
+                text.append(" ")
+                stack.append((name, chrome, article, True))  # an advert within a line ends no block
+                unseen = True
+                continue
             if name not in BLOCK and name not in CHROME and name not in HIDDEN and not (m[4] and UNSEEN.search(m[4])):
                 continue
             if name == "p" or name == "li" or name == "option":  # these end one of their own kind that is open
@@ -179,7 +210,7 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
             top = stack[-1] if stack else ("", False, False, False)
             named = name in ("article", "main")
             good = named or bool(marks and GOOD.search(marks))
-            bad = name in CHROME and not (name == "header" and top[2]) or bool(marks and BAD.search(marks))
+            bad = name in CHROME and not (name == "header" and top[2]) or bool(marks and not (name in TEXTUAL and top[2]) and misplaced(marks))
             # an article inside an element that only its class names sets apart is none of that
             inside = top[1] and not (named and not bad and not any(x[0] in CHROME for x in stack))
             stack.append((name, inside or bad, top[2] or good and not bad, top[3] or name in HIDDEN or bool(m[4] and UNSEEN.search(m[4]))))
@@ -189,7 +220,8 @@ def blocks(page: str | None) -> list[tuple[str, float, bool, bool, bool]]:
                 continue
             if not any(x[0] == name for x in stack):
                 continue
-            close()
+            if name not in INLINE or stack[-1][0] != name or not stack[-1][3]:
+                close()
             while stack.pop()[0] != name:
                 pass
             if link > len(stack):

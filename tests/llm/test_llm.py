@@ -323,6 +323,19 @@ def test_html_markup_that_misleads():
     assert sum(html_text.decide(html_text.tree(), r[:-1]) == r[-1] for r in some) >= 0.95 * len(some)
 
 
+def test_html_names_links_and_adverts_in_the_article():
+    w = "word " * 39 + "word"
+    p = f"<p>{w}</p>"
+    for page, want in (
+        (f'<article><div class="social-history">{p}</div></article>', w), (f'<article><p class="legal-notice-para">{w}</p></article>', w), (f'<article><h2 class="header">T</h2>{p}</article>', f"T {w}"),
+        (f'<article><div class="article-header"><h1>Title</h1></div>{p}</article>', f"Title {w}"), (f"<article><p><a href=x>see the report</a></p>{p}</article>", f"see the report {w}"),
+        (f"<article>{p}<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul></article>", f"{w} one two"), (f'<article><p>a <span class="ad">buy <b>now</b></span> b</p>{p}</article>', f"a b {w}"),
+        (f'<article><p>a <span class="sponsored">buy now</p>{p}</article>', f"a {w}"), (f'<article>{p}<div class="social-links"><p>share it</p></div><div class="comment-list">{p}</div></article>', w), (f"<p>{w}</p>{p}<p>all rights reserved</p>", f"{w} {w}"),
+        (f'<article>{p}<p>one</p></article><footer>site of words</footer>', f"{w} one"), ("<p>only this</p>", "only this"),
+    ):
+        assert html_text.main_text(page) == want, page
+
+
 def test_html_against_a_parser(spark):
     """The article of each page as html.parser reads it; without its class names and elements, blocks next to links and at the end are told apart by their neighbours."""
     from html.parser import HTMLParser
