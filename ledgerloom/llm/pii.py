@@ -113,7 +113,8 @@ def cut(pieces: Column, start: Column, end: Column) -> Column:
 
 def marked(text: Column, pattern: str) -> Column:
     """The text cut at the ends of the pattern's matches: every other piece, from the second on, is a match."""
-    return F.split(F.regexp_replace(F.translate(text, MARK, OTHER), pattern, f"{MARK}$0{MARK}"), MARK)
+    free_of_marks = F.when(text.contains(MARK), F.translate(text, MARK, OTHER)).otherwise(text)
+    return F.split(F.regexp_replace(free_of_marks, pattern, f"{MARK}$0{MARK}"), MARK)
 
 
 def placed(pieces: Column) -> Column:
@@ -133,7 +134,7 @@ def spans(text: Column) -> Column:
     """
     t = F.coalesce(text, F.lit(""))
     needed = lambda kind: t.contains(NEEDS[kind]) if kind in NEEDS else t.rlike("[0-9]")
-    every = F.array(*(F.struct(F.lit(k).alias("kind"), F.when(needed(k), marked(t, p)).otherwise(F.array().cast("array<string>")).alias("pieces")) for k, p, *_ in KINDS))
+    every = F.array(*(F.struct(F.lit(k).alias("kind"), F.when(needed(k) & t.rlike(p), marked(t, p)).otherwise(F.array().cast("array<string>")).alias("pieces")) for k, p, *_ in KINDS))
     found = F.transform(F.filter(every, lambda e: F.size(e["pieces"]) > 1), lambda e: F.struct(e["kind"].alias("kind"), placed(e["pieces"]).alias("found")))
     bases = {k: F.lit(base) for k, _, _, base, _ in KINDS}
 
