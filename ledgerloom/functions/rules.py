@@ -52,6 +52,11 @@ def coverage(df: DataFrame, label: Column, default: str = R.OTHER) -> DataFrame:
     return df.agg(F.count("*").alias("n"), hit.alias("matched")).withColumn("matched_pct", F.bround(F.lit(100.0) * F.col("matched") / F.greatest(F.lit(1), F.col("n")), 1))
 
 
+def unmatched(df: DataFrame, label: Column, order: str, n: int = 25, default: str = R.OTHER) -> DataFrame:
+    """The first rows, in a stated order, that no rule knows."""
+    return df.where(F.coalesce(label, F.lit(default)) == default).orderBy(order).limit(n)
+
+
 def vote(df: DataFrame, key: str, text: str, rules: Rules, order: str) -> DataFrame:
     """Per key the label that most rows show; ties go to the earliest row, then to the earlier rule."""
     hits = [F.when(F.col(text).rlike(p), F.struct(F.lit(i).alias("rank"), F.lit(label).alias("label"))) for i, (label, p) in enumerate(rules)]

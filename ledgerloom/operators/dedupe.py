@@ -50,6 +50,11 @@ def orphans(done: DataFrame, inputs: DataFrame, key: str) -> DataFrame:
     return done.join(inputs, key, "left_anti")
 
 
+def stamp_of(raw: Column, field: str = "_prompt_version") -> Column:
+    """The stamp of a stored JSON record: unversioned if it has none, unreadable if it can't be parsed."""
+    return F.when(F.get_json_object(raw, "$").isNull(), "unreadable").otherwise(F.coalesce(F.nullif(F.get_json_object(raw, f"$.{field}"), F.lit("")), F.lit("unversioned")))
+
+
 def stamp_audit(done: DataFrame, stamp: str, current: Column) -> DataFrame:
     """verdict UNIFORM, MIXED or UNKNOWN over the stamps; one row."""
     s = F.coalesce(F.nullif(F.col(stamp), F.lit("")), F.lit("unversioned"))

@@ -76,3 +76,29 @@ def without_heaviest(items: DataFrame, group: str, item: str, size: str, limit:
 def head(rows: DataFrame, n: int, *order) -> DataFrame:
     """The first rows in a stated order: a top-k, no sort of the whole."""
     return rows.orderBy(*order).limit(n)
+
+
+def value_counts(rows: DataFrame, column: str, n: int | None = None) -> DataFrame:
+    """How often each known value stands in a column, the most frequent first (ties by value) if only n are asked for; null is no value."""
+    counts = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return counts.orderBy(F.col("n").desc(), column).limit(n) if n else counts
+
+
+def distinct_values(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row with the number of distinct known values of each column."""
+    return rows.agg(*(F.countDistinct(c).alias(c) for c in columns))
+
+
+def spread(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """n, shortest, middle (interpolated), longest and total of a number, for each group."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.min(value).alias("shortest"), F.median(value).alias("middle"), F.max(value).alias("longest"), F.sum(value).alias("total"))
+
+
+def group_sizes(rows: DataFrame, key: str) -> DataFrame:
+    """One row: the median and the largest number of rows of a key."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.median("n").alias("middle"), F.max("n").alias("most"))
+
+
+def numbered(rows: DataFrame, n: int, *order) -> DataFrame:
+    """The first rows in a stated order, numbered from 1: a report of bounded length."""
+    return rows.orderBy(*order).limit(n).withColumn("number", F.row_number().over(Window.orderBy(*order)).cast("long"))

@@ -145,6 +145,20 @@ def subcategories(spark, d) -> DataFrame:
     return t(spark, d, "part").select("p_partkey", rules.category(x).alias("category"), rules.subcategory(x).alias("subcategory"), rules.subcategory_of_component(x).alias("of_component"))
 
 
+@query(f"""WITH a AS (SELECT p_partkey, p_name || ', ' || list_extract({PHRASES!r}, CAST(p_partkey % {len(PHRASES)} AS INT) + 1) AS y FROM part), b AS (SELECT p_partkey, CASE WHEN y ILIKE '%rooftop%' THEN replace(y, 'rooftop', 'rtu') ELSE {_blank.replace("(x,", "(y,")} END AS x, y FROM a)
+SELECT p_partkey, {_rule_sql(R.SUBCATEGORY_RULES, "x")} AS label, CASE WHEN y ILIKE '%rooftop unit%' AND x NOT ILIKE '%roof%' THEN 'rooftop unit' {" ".join(f"WHEN regexp_matches(x, '{_portable(p)}') THEN regexp_extract(x, '{_portable(p)}', 0)" for _, p in R.SUBCATEGORY_RULES)} END AS matched FROM b""")
+def explain_subcategory(spark, d) -> DataFrame:
+    """The winning one of the twelve rules, and the words that it matched."""
+    x = F.concat("p_name", F.lit(", "), F.element_at(F.array(*map(F.lit, PHRASES)), (F.col("p_partkey") % len(PHRASES)).cast("int") + 1))
+    return t(spark, d, "part").select("p_partkey", rules.explain(x, R.SUBCATEGORY_RULES).alias("e")).select("p_partkey", "e.*")
+
+
+@query(f"SELECT p_partkey, p_name FROM part WHERE {_case(NAME_RULES[:2], 'p_name', 'other')} = 'other' ORDER BY p_partkey LIMIT 25")
+def unmatched_sample(spark, d) -> DataFrame:
+    """The first 25 names that no rule knows: what a coverage report shows."""
+    return rules.unmatched(t(spark, d, "part").select("p_partkey", "p_name"), rules.first_match(F.col("p_name"), NAME_RULES[:2]), "p_partkey")
+
+
 SQUASH = "regexp_replace(translate(lower({0}), 'àáâãäåèéêëìíîïòóôõöùúûüýÿñçšž', 'aaaaaaeeeeiiiiooooouuuuyyncsz'), '[^a-z0-9]', '', 'g')"
 
 
@@ -267,7 +281,10 @@ def page_scores(spark, d) -> DataFrame:
 @query("""SELECT source, count(*) AS n_pages, CAST(round_even(100.0 * count(*) FILTER (length(text) > 50) / count(*), 0) AS INT) AS text_pct, min(n_chars) AS shortest, max(n_chars) AS longest, CAST(sum(n_chars) AS BIGINT) AS total, median(n_chars) AS middle
 FROM documents GROUP BY 1""")
 def doc_profile(spark, d) -> DataFrame:
-    return t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n_pages"), F.bround(F.lit(100.0) * F.count_if(F.length("text") > 50) / F.count("*"), 0).cast("int").alias("text_pct"), F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest"), F.sum("n_chars").alias("total"), F.median("n_chars").alias("middle"))
+    docs = t(spark, d, "documents")
+    share = docs.groupBy("source").agg(F.bround(F.lit(100.0) * F.count_if(F.length("text") > profile.THIN) / F.count("*"), 0).cast("int").alias("text_pct"))
+    of = rollup.spread(docs, ["source"], "n_chars").withColumnRenamed("n", "n_pages")
+    return of.join(share, of["source"].eqNullSafe(share["source"])).drop(share["source"])
 
 
 @query("""WITH s AS (SELECT conv_id AS doc_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS i, length(text) % 4 AS score, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
@@ -285,17 +302,18 @@ def page_selection(spark, d) -> DataFrame:
 
 @query("SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1")
 def value_counts(spark, d) -> DataFrame:
-    return t(spark, d, "events").where("event_type is not null").groupBy("event_type").agg(F.count("*").alias("n"))
+    return rollup.value_counts(t(spark, d, "events"), "event_type")
 
 
-@query("SELECT count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS types, count(props) AS with_props FROM events")
+@query("SELECT count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS types, count(DISTINCT CASE WHEN props IS NOT NULL THEN event_id END) AS with_props FROM events")
 def distinct_counts(spark, d) -> DataFrame:
-    return t(spark, d, "events").agg(F.countDistinct("user_id").alias("users"), F.countDistinct("event_type").alias("types"), F.count("props").alias("with_props"))
+    e = t(spark, d, "events").select(F.col("user_id").alias("users"), F.col("event_type").alias("types"), F.when(F.col("props").isNotNull(), F.col("event_id")).alias("with_props"))
+    return rollup.distinct_values(e, "users", "types", "with_props")
 
 
 @query("SELECT median(n) AS middle, CAST(max(n) AS BIGINT) AS most FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1)")
 def median_by_group(spark, d) -> DataFrame:
-    return t(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n")).agg(F.median("n").alias("middle"), F.max("n").alias("most"))
+    return rollup.group_sizes(t(spark, d, "events"), "user_id")
 
 
 @query("""SELECT c_custkey, CASE WHEN k IS NULL THEN 'todo' WHEN s = 'F' THEN 'current' ELSE 'stale' END AS state FROM customer LEFT JOIN (
@@ -398,8 +416,18 @@ def data_dictionary(spark, d) -> DataFrame:
 @query("""SELECT row_number() OVER (ORDER BY lower(c_name) NULLS LAST, c_custkey) AS number, c_custkey, c_name FROM customer ORDER BY 1 LIMIT 25""")
 def roster(spark, d) -> DataFrame:
     """A report of 25 lines: top rows by a distributed sort, numbered afterwards."""
-    top = t(spark, d, "customer").orderBy(F.lower("c_name").asc_nulls_last(), "c_custkey").limit(25)
-    return top.select(F.row_number().over(Window.orderBy(F.lower("c_name").asc_nulls_last(), "c_custkey")).cast("long").alias("number"), "c_custkey", "c_name")
+    top = rollup.numbered(t(spark, d, "customer"), 25, F.lower("c_name").asc_nulls_last(), "c_custkey")
+    return top.select("number", "c_custkey", "c_name")
+
+
+#: Stored answers: one in seven has no stamp, one in eleven can't be read.
+STORED = """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN '{{"_prompt_version": "v' WHEN o_orderkey % 7 = 0 THEN '{{"x": 1}}' ELSE '{{"_prompt_version": "v' || o_orderstatus || '"}}' END AS raw FROM {orders}"""
+
+
+@query("""SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'unreadable' WHEN o_orderkey % 7 = 0 THEN 'unversioned' ELSE 'v' || o_orderstatus END AS stamp, count(*) AS n FROM orders GROUP BY 1""")
+def stamp_counts(spark, d) -> DataFrame:
+    stored = spark.sql(STORED, orders=t(spark, d, "orders"))
+    return rollup.value_counts(stored.select(dedupe.stamp_of(F.col("raw")).alias("stamp")), "stamp")
 
 
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'clean' WHEN 'O' THEN 'needs_review' WHEN 'P' THEN 'error' END"

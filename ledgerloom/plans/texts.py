@@ -9,6 +9,7 @@ from ledgerloom import registries as R
 from ledgerloom.functions import folding, text
 from ledgerloom.operators import grounding, profile
 from ledgerloom.plans.registry import query, t
+from ledgerloom.sources import salvage
 from ledgerloom.sources.salvage import register
 
 #: Eight documents are the pages of a report; each gives a cell that cites words of its own, in three ways, and its first page or its own.
@@ -154,3 +155,17 @@ def original_pages(spark, d) -> DataFrame:
     """Each turn cites its own place in the slice, and gets the page that stands there."""
     c = t(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", (F.col("turn") + 1).cast("int").alias("page"))
     return profile.original_pages(c, page_slices(spark, d))
+
+
+#: Line items as a model gives them in two answers: the earlier lines, and the later ones, of which one record in five is cut off behind its first item.
+SPLIT = """SELECT l_orderkey AS doc_id, CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS scope, '{{"part": ' || CAST(l_partkey AS STRING) || '}}' AS object, row_number() OVER (PARTITION BY l_orderkey, l_linenumber <= 3 ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS n FROM {lineitem}"""
+
+
+@query(f"""WITH o AS ({SPLIT.format(lineitem="lineitem")}) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY scope, n) - 1 AS INT) AS row_idx, object FROM o WHERE NOT (doc_id % 5 = 0 AND scope = 2 AND n > 1)""")
+def component_rows(spark, d) -> DataFrame:
+    o = spark.sql(SPLIT, lineitem=t(spark, d, "lineitem"))
+    body = F.array_sort(F.collect_list(F.struct("n", "object")))
+    parts = o.groupBy("doc_id", "scope").agg(body.alias("b")).withColumn("b", F.transform("b", lambda x: x["object"]))
+    cut = (F.col("doc_id") % 5 == 0) & (F.col("scope") == 2)
+    raw = F.concat(F.lit('{"components": ['), F.when(cut, F.concat(F.get("b", F.lit(0)), F.lit(', {"part": '))).otherwise(F.concat(F.array_join("b", ", "), F.lit("]}"))))
+    return salvage.component_rows(parts.select("doc_id", "scope", raw.alias("raw")))

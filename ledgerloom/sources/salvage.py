@@ -10,7 +10,8 @@ import json
 import re
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from ledgerloom.functions.workers import importable
@@ -83,6 +84,15 @@ class SalvageVerdicts:
             yield name, v["ok"] if isinstance(v["ok"], bool) else None, _text(v.get("corrected_value")), _text(v.get("reason"))
 
 
+def component_rows(answers: DataFrame, key: str = "doc_id", scope: str = "scope", raw: str = "raw", name: str = "components") -> DataFrame:
+    """The key, row_idx (from 0) and JSON text of the rows of a list that came in several answers (one a scope), in the order of scopes; what
+    can be read of an answer that was cut off counts."""
+    register(answers.sparkSession)
+    rows = answers.sparkSession.sql(f"SELECT `{key}`, `{scope}` AS __scope, o.pos AS __pos, o.object FROM {{answers}}, LATERAL salvage_rows(`{raw}`, '{name}') o", answers=answers)
+    at = F.row_number().over(Window.partitionBy(key).orderBy("__scope", "__pos")) - 1
+    return rows.select(key, at.alias("row_idx"), "object")
+
+
 def register(spark: SparkSession) -> None:
     importable(spark)
     spark.udtf.register("salvage_rows", SalvageRows)

@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import rollup
+from ledgerloom.functions import rules
+from ledgerloom.operators import dedupe, rollup
+from ledgerloom.sources import files, salvage
 
 
 def test_filters(spark):
@@ -30,3 +32,27 @@ def test_places_and_limits(spark):
     items = spark.createDataFrame([("d", 1, 5), ("d", 2, 5), ("d", 3, 1), ("e", 1, 9)], "doc string, page int, size int")
     assert sorted((r.doc, r.page) for r in rollup.without_heaviest(items, "doc", "page", "size", 6).collect()) == [("d", 1), ("d", 3)]
     assert [r.page for r in rollup.head(items, 2, F.col("size").desc(), "page").collect()] == [1, 1]
+
+
+def test_counts_spreads_and_samples(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5), ("b", 7), (None, 9), ("c", None)], "k string, v int")
+    assert [tuple(r) for r in rollup.value_counts(df, "k", 2).collect()] == [("a", 2), ("b", 2)]
+    assert tuple(rollup.distinct_values(df, "k", "v").first()) == (3, 5)
+    assert {r.k: tuple(r)[1:] for r in rollup.spread(df, ["k"], "v").collect()} == {"a": (2, 1, 1.5, 2, 3), "b": (2, 5, 6.0, 7, 12), None: (1, 9, 9.0, 9, 9), "c": (1, None, None, None, None)}
+    assert tuple(rollup.group_sizes(df, "k").first()) == (1.5, 2)
+    assert [(r.number, r.v) for r in rollup.numbered(df, 2, F.col("v").desc_nulls_last()).collect()] == [(1, 9), (2, 7)]
+    assert [r.k for r in rules.unmatched(df.where("k IS NOT NULL"), F.when(F.col("k") == "a", "x"), "v", 2).collect()] == ["c", "b"]
+
+
+def test_stamps_of_stored_records(spark):
+    df = spark.createDataFrame([('{"_prompt_version": "v1"}',), ('{"_prompt_version": ""}',), ("{}",), ('{"_prom',), ("",), (None,)], "raw string")
+    assert [r[0] for r in df.select(dedupe.stamp_of(F.col("raw"))).collect()] == ["v1", "unversioned", "unversioned", "unreadable", "unreadable", "unreadable"]
+
+
+def test_rows_of_several_answers_and_gold_labels(spark, tmp_path):
+    answers = [("d", "T2", '{"components": [{"a": 3}, {"a": '), ("d", "T1", '{"components": [{"a": 1}, {"a": 2}]}'), ("e", "T1", None), ("f", "T1", '{"components": []}')]
+    got = salvage.component_rows(spark.createDataFrame(answers, "doc_id string, scope string, raw string")).collect()
+    assert sorted((r.doc_id, r.row_idx, r.object) for r in got) == [("d", 0, '{"a": 1}'), ("d", 1, '{"a": 2}'), ("d", 2, '{"a": 3}')]
+    (tmp_path / "r1.json").write_text('{"city": "X", "units": 12, "none": null}')
+    (tmp_path / "r2.json").write_text("broken")
+    assert sorted((r.id, r.field, r.value) for r in files.gold_labels(spark, str(tmp_path)).collect() if r.field != "none") == [("r1", "city", "X"), ("r1", "units", "12")]
