@@ -165,24 +165,31 @@ def numbers_present(values: DataFrame, pages: DataFrame, key: str = "doc_id") ->
     return search_documents(v, pages, key).select(key, F.col("id").alias("field"), "found")
 
 
+#: Probes that are broadcast at most: a hash and an item of each, about 50 bytes.
+PROBES_SENT = 200_000
+
+
 def snippet_hits(texts: DataFrame, snippets: DataFrame, key: str, item: str, pieces: int = 5) -> DataFrame:
     """(key, item) where a snippet stands in a text, on squashed text. Both sides are cut after squashing, at each of the
     letters a and e: what lies between two cuts of the snippet lies between two cuts of any text that holds it. A run of
     such pieces must be shared before the texts are searched, so that no cross join is made. Snippets with too few pieces
     are looked up by their first characters, as many as pieces or as they have. Snippets without letters and digits are
-    nowhere."""
+    nowhere. Runs are met as 64-bit hashes; the search decides. Where the snippets' runs are few enough to be
+    sent to every task (they are counted), texts meet them where they are read, and only candidates are shuffled."""
     # what is cut is bound once by a transform over an array of one, or each slice would cut the text again
-    gram = lambda n: lambda c: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.concat_ws("|", F.slice(c, i + 1, n)))).otherwise(F.array().cast("array<string>"))
+    gram = lambda n: lambda c: F.when(F.size(c) >= n, F.transform(F.sequence(F.lit(0), F.size(c) - n), lambda i: F.xxhash64(F.concat_ws("|", F.slice(c, i + 1, n))))).otherwise(F.array().cast("array<bigint>"))
     grams = lambda x, at, n: F.array_distinct(F.get(F.transform(F.array(F.split(squash(x), at)), gram(n)), F.lit(0)))
     s = squash(F.col("text"))
     cut = snippets.where(F.length(s) > 0).select(item, F.split(s, "[ae]").alias("w"), F.split(s, "").alias("chars"))
-    run = lambda c, start, n: F.concat_ws("|", F.slice(c, start, n)).alias("g")
+    run = lambda c, start, n: F.xxhash64(F.concat_ws("|", F.slice(c, start, n))).alias("g")
     few = F.size("w") < pieces + 2
-    pairs = texts.select(key, F.explode(grams(F.col("text"), "[ae]", pieces)).alias("g")).join(cut.where(~few).select(item, run("w", 2, pieces)), "g").select(key, item)
+    sizes = {r.n: r["count"] for r in cut.select(F.when(few, F.least(F.size("chars"), F.lit(pieces))).otherwise(0).alias("n")).groupBy("n").count().collect()}
+    sent = lambda probes, n: F.broadcast(probes) if n <= PROBES_SENT else probes
+    pairs = texts.select(key, F.explode(grams(F.col("text"), "[ae]", pieces)).alias("g")).join(sent(cut.where(~few).select(item, run("w", 2, pieces)), sizes.get(0, 0)), "g").select(key, item)
     for n in range(1, pieces + 1):
-        brief = cut.where(few & (F.least(F.size("chars"), F.lit(pieces)) == n)).select(item, run("chars", 1, n))
-        if not brief.isEmpty():
-            pairs = pairs.union(texts.select(key, F.explode(grams(F.col("text"), "", n)).alias("g")).join(brief, "g").select(key, item))
+        if sizes.get(n):
+            brief = cut.where(few & (F.least(F.size("chars"), F.lit(pieces)) == n)).select(item, run("chars", 1, n))
+            pairs = pairs.union(texts.select(key, F.explode(grams(F.col("text"), "", n)).alias("g")).join(sent(brief, sizes[n]), "g").select(key, item))
     pairs = pairs.distinct()
     j = pairs.join(texts.select(key, "text"), key).join(snippets.select(item, F.col("text").alias("snippet")), item)
     return j.where(squash(F.col("text")).contains(squash(F.col("snippet")))).select(key, item)
