@@ -9,7 +9,8 @@ the non-negative unbiased risk
 depends on the data by first and second moments alone. Workers sum these over all training documents (no sample is
 drawn), Spark adds the sums by cell, and the driver, which gets a fixed number of cells, minimises the risk: the unbiased
 minimum in closed form, then descent with the correction wherever the negative part is below zero. The class prior is
-estimated as the share of 1 among the labelled training documents. f estimates 2 P(1 | text) - 1; the score is (1 + f) / 2.
+estimated from the same moments (Elkan and Noto, 2008): a least-squares model of which documents are trusted, its mean over the
+trusted ones as the share of positives that are trusted, and the trusted documents' share divided by it. Labels of 0 are never used. f estimates 2 P(1 | text) - 1; the score is (1 + f) / 2.
 
 Null and empty texts have all measures 0 and get the score of that bin. Without a trusted positive the score is 0.5 for
 every text. A document labelled more than once is positive only if all its labels are 1.
@@ -126,15 +127,21 @@ def minimise(a: np.ndarray, p: np.ndarray, n_u: int, n_p: int, a_p: np.ndarray |
     return w
 
 
+def class_prior(a: np.ndarray, p: np.ndarray, n_u: int, n_p: int) -> float:
+    """The share of positives among all documents, if the trusted ones are drawn from the positives alike: 0.01 to 0.99."""
+    if not n_p or not n_u:
+        return 0.5
+    trusted = inverted(a / n_u + RIDGE * np.eye(DIM)) @ (p / n_u)
+    return float(min(0.99, max(0.01, (n_p / n_u) / max(1e-6, trusted @ (p / n_p)))))
+
+
 def train(bins_: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights learned from the training rows' bins (doc_id, bins) and labels (doc_id, quality)."""
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min("quality") == 1).alias("positive"))
     rows = bins_.join(known, "doc_id", "left")
-    share = known.agg(F.avg(F.col("positive").cast("double")).alias("p")).first()["p"]
-    prior = float(min(0.99, max(0.01, share if share is not None else 0.5)))
     a, p, n_u, n_p = moments(rows.select("bins", F.coalesce("positive", F.lit(False)).alias("positive")))
     a_pos, _, n_pos, _ = moments(rows.where("positive").select("bins", F.lit(True).alias("positive")))
-    return minimise(a, p, n_u, n_p, a_pos / n_pos if n_pos else None, prior)
+    return minimise(a, p, n_u, n_p, a_pos / n_pos if n_pos else None, class_prior(a, p, n_u, n_p))
 
 
 def score(bins_: DataFrame, weights: np.ndarray) -> DataFrame:

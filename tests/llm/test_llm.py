@@ -294,6 +294,39 @@ def test_quality_model(spark, docs, empty):
     assert {r.score for r in quality_model.score(quality_model.featurize(docs), none).collect()} == {0.5}
 
 
+def test_class_prior_is_found_from_positives_and_unlabelled_texts():
+    """Three kinds of documents, of which two are good: whatever share of the good ones is trusted, the estimate is near the truth."""
+    r = np.random.default_rng(4)
+    for truth, trusted in ((0.8, 0.5), (0.5, 0.2), (0.2, 0.9)):
+        good = r.random(20_000) < truth
+        kind = np.where(good, r.integers(0, 2, 20_000), np.where(r.random(20_000) < 0.95, 2, 1))  # some bad ones look good
+        x = np.zeros((20_000, quality_model.DIM))
+        x[np.arange(20_000), kind] = 1
+        x[:, -1] = 1
+        p = good & (r.random(20_000) < trusted)
+        got = quality_model.class_prior(x.T @ x, x[p].sum(axis=0), 20_000, int(p.sum()))
+        assert abs(got - truth) < 0.05
+    none = np.zeros((quality_model.DIM, quality_model.DIM))
+    assert quality_model.class_prior(none, none[0], 0, 0) == 0.5
+
+
+def test_unbiased_risk_has_no_lower_point_nearby():
+    """minimise() against the risk itself, computed text by text."""
+    r = np.random.default_rng(6)
+    n, good = 3000, r.random(3000) < 0.6
+    x = np.zeros((n, quality_model.DIM))
+    x[np.arange(n), np.where(good, r.integers(0, 4, n), r.integers(2, 6, n))] = 1
+    x[:, -1] = 1
+    p, prior = good & (r.random(n) < 0.5), 0.6
+
+    def risk(w):
+        f, plus, minus = x @ w, lambda f: (f - 1) ** 2 / 4, lambda f: (f + 1) ** 2 / 4
+        return prior * plus(f[p]).mean() + max(0.0, minus(f).mean() - prior * minus(f[p]).mean()) + quality_model.RIDGE * (w @ w) / 4
+
+    w = quality_model.minimise(x.T @ x, x[p].sum(axis=0), n, int(p.sum()), x[p].T @ x[p] / p.sum(), prior)
+    assert all(risk(w) <= risk(w + 0.02 * r.normal(size=quality_model.DIM) * (np.arange(quality_model.DIM) < 6)) + 1e-6 for _ in range(300))
+
+
 def test_html(spark):
     page = """<html><head><title>t</title><style>p{}</style></head><body><nav><a href=/>Home</a></nav><div class="cookie-notice">We use cookies</div>
     <article><h1>Title &amp; more</h1><p>A   para<br>of text<p>Second &eacute;t&eacute;<script>var x="<p>no</p>"</script><section class="comments"><p>Nice post, I really liked it a lot</p></section></article>
