@@ -497,12 +497,12 @@ def sample_head(spark, d) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from ledgerloom.plans import audits, texts  # noqa: F401  these register their queries
+    from ledgerloom.plans import audits, texts, values  # noqa: F401  these register their queries
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from ledgerloom.plans import audits, texts  # noqa: F401
+    from ledgerloom.plans import audits, texts, values  # noqa: F401
 
     return dict(_sql)
