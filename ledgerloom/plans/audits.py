@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
-from ledgerloom.operators import grid, merge
+from ledgerloom.operators import grid, merge, rollup
 from ledgerloom.operators import verification as V
 from ledgerloom.plans import derived, verify
 from ledgerloom.plans import revalidate as P
 from ledgerloom.plans.registry import _rule_sql, query, t
+from ledgerloom.sources import sinks
 from ledgerloom.sources.store import Store
 from ledgerloom.streaming import feed
 
@@ -176,6 +177,24 @@ def typed_checks(spark, d) -> DataFrame:
     return rows.unionByName(V.exploded(s, V.typed(s, "systems", {"condition_rating_numeric": R.SYSTEM_BOUNDS["condition_rating_numeric"]}, {"condition": R.CONDITIONS}), "row_idx"))
 
 
+@query(f"""WITH {derived.ctes("system")}, issue AS (SELECT property_id, 'systems' AS layer, row_idx, 'condition_rating_numeric' AS field, 'range' AS kind FROM system WHERE condition_rating_numeric = '7'
+  UNION ALL SELECT property_id, 'systems', row_idx, 'condition', 'category' FROM system WHERE lower(condition) IN ('shabby', 'good to fair', 'n/a'))
+SELECT property_id, CAST(to_json(list(struct_pack(layer := layer, row_idx := row_idx, field := field, kind := kind) ORDER BY layer, row_idx, field, kind)) AS VARCHAR) AS flags FROM issue GROUP BY 1""")
+def review_flags(spark, d) -> DataFrame:
+    """The issues of each record as one JSON list."""
+    _, s, _ = _records(spark, d)
+    found = V.exploded(s, V.typed(s, "systems", {"condition_rating_numeric": R.SYSTEM_BOUNDS["condition_rating_numeric"]}, {"condition": R.CONDITIONS}), "row_idx")
+    return sinks.flags(found.drop("detail"))
+
+
+@query("""WITH x AS (SELECT o_orderstatus || '|' AS status, count(*) AS n FROM orders GROUP BY 1), r AS (SELECT row_number() OVER (ORDER BY status) + 1 AS line, '| ' || replace(status, '|', chr(92) || '|') || ' | ' || n || ' |' AS text FROM x)
+SELECT 0 AS line, '| status | n |' AS text UNION ALL SELECT 1, '|-|-|' UNION ALL SELECT line, text FROM r""")
+def markdown_table(spark, d) -> DataFrame:
+    """Status counts as the lines of a Markdown table."""
+    counts = rollup.value_counts(t(spark, d, "orders").select(F.concat("o_orderstatus", F.lit("|")).alias("status")), "status")
+    return sinks.markdown(counts, "status")
+
+
 _WORDS = "CASE {0} WHEN 'Good' THEN 'good' WHEN 'Good to fair' THEN 'good; fair' WHEN 'good to fair' THEN 'good; fair' WHEN 'N/A' THEN 'na' ELSE {0} END"
 
 

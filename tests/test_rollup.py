@@ -1,8 +1,10 @@
+import json
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import rules
 from ledgerloom.operators import dedupe, rollup
-from ledgerloom.sources import files, salvage
+from ledgerloom.sources import files, salvage, sinks
 
 
 def test_filters(spark):
@@ -56,3 +58,20 @@ def test_rows_of_several_answers_and_gold_labels(spark, tmp_path):
     (tmp_path / "r1.json").write_text('{"city": "X", "units": 12, "none": null}')
     (tmp_path / "r2.json").write_text("broken")
     assert sorted((r.id, r.field, r.value) for r in files.gold_labels(spark, str(tmp_path)).collect() if r.field != "none") == [("r1", "city", "X"), ("r1", "units", "12")]
+
+
+def test_routed_records_and_their_flags(spark, tmp_path):
+    records = spark.createDataFrame([("a", "clean"), ("b", "needs_review"), ("c", None)], "property_id string, status string")
+    issues = spark.createDataFrame([("b", "systems", 2, "x", "range", "7"), ("b", "property", None, "y", "type", 'a "b"'), ("a", "property", None, "z", "range", "1")], "property_id string, layer string, row_idx int, field string, kind string, detail string")
+    out = lambda n: f"{tmp_path}/{n}"
+    sinks.routed(records, out("clean"), out("review"), issues=issues)
+    assert sorted(r[0] for r in spark.read.option("header", True).csv(out("review")).collect()) == ["b", "c"]
+    (flag,) = spark.read.json(out("review-flags")).collect()
+    assert flag.property_id == "b" and [(x["layer"], x["row_idx"], x["detail"]) for x in json.loads(flag.flags)] == [("property", None, 'a "b"'), ("systems", 2, "7")]
+    sinks.routed(records.withColumn("status", F.lit("clean")), out("clean"), out("review"), issues=issues)  # flags of what is clean now are gone
+    assert spark.read.schema("property_id string, flags string").json(out("review-flags")).count() == 0
+
+
+def test_markdown(spark):
+    df = spark.createDataFrame([("b|c", 1), ("a", None)], "k string, v int")
+    assert [r.text for r in sinks.markdown(df, "k").orderBy("line").collect()] == ["| k | v |", "|-|-|", "| a |  |", "| b\\|c | 1 |"]
