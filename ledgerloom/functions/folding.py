@@ -11,9 +11,11 @@ import unicodedata
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.workers import importable
+
 # What dashes, quotes and the space that doesn't break become.
 DASHES, SINGLE, DOUBLE, SPACE = "‐‑‒–—―", "’‘‚‛", "“”„‟", " "
 FOLDS = str.maketrans(DASHES + SINGLE + DOUBLE + SPACE, "-" * len(DASHES) + "'" * len(SINGLE) + '"' * len(DOUBLE) + " ")
@@ -34,7 +36,15 @@ def squash_text(s: str) -> str:
     return SIGNS.sub("", s.lower())
 
 
+def _session() -> None:
+    """Workers must find this package; a column expression knows no session but the active one."""
+    if (spark := SparkSession.getActiveSession()) is not None:
+        importable(spark)
+
+
 def _udf(f: Callable[[str], str]):
+    _session()
+
     @F.arrow_udf("string")
     def fold(x: pa.Array) -> pa.Array:
         return pa.array([None if s is None else f(s) for s in x.to_pylist()], type=pa.string())
@@ -43,6 +53,8 @@ def _udf(f: Callable[[str], str]):
 
 
 def _udf_all(f: Callable[[str], str]):
+    _session()
+
     @F.arrow_udf("array<string>")
     def fold(x: pa.Array) -> pa.Array:
         return pa.array([None if a is None else [None if s is None else f(s) for s in a] for a in x.to_pylist()], type=pa.list_(pa.string()))
