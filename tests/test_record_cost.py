@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
-from ledgerloom.functions import coerce, text
+from ledgerloom.functions import coerce, folding, text
 from ledgerloom.operators import verification as V
 from ledgerloom.plans import revalidate as P
 from ledgerloom.plans import verify
@@ -78,3 +78,10 @@ def test_issues_are_kept_while_they_are_read(spark, monkeypatch, tmp_path):
     after = verify.revalidate_store(spark, str(tmp_path / "store"), 2)
     assert sorted((r.property_id, r.status) for r in after.collect()) == [("a", "needs_review"), ("b", "clean")]
     assert any("kind" in df.columns for df in seen)
+
+
+def test_folding_gets_small_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    df = spark.createDataFrame([("Café",), (None,), ("A  b",)], "x string").select(folding.norm(F.col("x")).alias("n"), folding.squash_all(F.array("x")).alias("s"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 4 << 20
+    assert [(r.n, r.s) for r in df.collect()] == [("café", ["cafe"]), (None, [None]), ("a b", ["ab"])]
