@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import registries as R
@@ -90,16 +90,30 @@ def normalise_systems(systems: DataFrame) -> DataFrame:
     return grid.unionByName(merged.where((F.col("subcategory") == R.OTHER) & costed).withColumn("assessed", F.lit(True)))
 
 
+def _nameless() -> Column:
+    return F.coalesce(F.trim("subcategory") == "", F.lit(True))
+
+
+def mark_legacy(systems: DataFrame) -> DataFrame:
+    """systems, and in __old whether their property is of the older layout; rows without a property go. One shuffle of the rows."""
+    return systems.where(F.col("property_id").isNotNull()).withColumn("__old", F.bool_or(_nameless()).over(Window.partitionBy("property_id")))
+
+
 def migrate_legacy_systems(systems: DataFrame) -> DataFrame:
     """Properties with a row without a subcategory are of the older layout, one row a section of the report: their rows are mapped by
     the section's heading, which moves to source_sections with its number, and normalised. All others stay as they are.
 
     systems has pos, system_name and section_code beside the columns of today; the older layout had no rul_years and no notes.
+    They are read for the older layout's rows, for their properties and for the others: what is costly to make should be
+    given as a table of what mark_legacy() returns. Without any row of the older layout nothing is shuffled.
     """
-    blank = F.coalesce(F.trim("subcategory") == "", F.lit(True))
-    old = systems.groupBy("property_id").agg(F.bool_or(blank).alias("__old"))
-    j = systems.join(old, "property_id")
-    today = [c for c in systems.columns if c not in ("system_name", "section_code", "pos")]
+    today = [c for c in systems.columns if c not in ("system_name", "section_code", "pos", "__old")]
+    if "__old" in systems.columns:
+        j = systems
+    elif systems.where(_nameless()).isEmpty():
+        return systems.where(F.col("property_id").isNotNull()).select(*today)
+    else:
+        j = mark_legacy(systems)
     text = lambda c: F.coalesce(F.trim(c), F.lit(""))
     heading = F.coalesce(F.nullif(F.col("system_name"), F.lit("")), F.trim(F.concat_ws(" ", text("system_name"), text("section_code"))))
     source = F.nullif(F.trim(F.concat_ws(" ", text("section_code"), text("system_name"))), F.lit(""))
