@@ -7,6 +7,7 @@ from ledgerloom.functions import coerce, folding, text
 from ledgerloom.operators import verification as V
 from ledgerloom.plans import revalidate as P
 from ledgerloom.plans import verify
+from ledgerloom.sources.store import Store
 
 
 def plan(df):
@@ -85,3 +86,31 @@ def test_folding_gets_small_batches(spark):
     df = spark.createDataFrame([("Café",), (None,), ("A  b",)], "x string").select(folding.norm(F.col("x")).alias("n"), folding.squash_all(F.array("x")).alias("s"))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 4 << 20
     assert [(r.n, r.s) for r in df.collect()] == [("café", ["cafe"]), (None, [None]), ("a b", ["ab"])]
+
+
+def test_issues_are_found_outside_of_lambdas(spark):
+    """Inside of a filter() all checks of a row were interpreted; a plan that infers the array's size would work them out twice."""
+    df = spark.createDataFrame([("a", 1, 9.0, []), ("b", 2, 3.0, [("x", "f", "k", "d")]), ("c", 3, None, None)], f"property_id string, row_idx int, n double, __lost {V.LIST}")
+    found = V.exploded(df, [F.when(F.col("n") > 5, V._issue("l", "n", "range", F.col("n"))), F.when(F.col("n") > 8, V._issue("l", "n", "far", F.col("n")))], "row_idx", "__lost")
+    assert "lambda" not in (p := plan(found)) and p.count("range") == 1
+    assert sorted(tuple(r) for r in found.collect()) == [("a", "l", 1, "n", "far", "9.0"), ("a", "l", 1, "n", "range", "9.0"), ("b", "x", 2, "f", "k", "d")]
+
+
+def test_a_revalidation_merges_nothing(spark, monkeypatch, tmp_path):
+    """All stored rows come back, so they take the place of what is stored as they are; first rows aren't staged either."""
+    staged, merged, paths = [], Store._merged, []
+    monkeypatch.setattr(Store, "_merged", lambda self, rows, order: staged.append(self.exists()) or merged(self, rows, order))
+    monkeypatch.setattr(Store, "remove", lambda self, folder: paths.append(folder))
+    p = spark.createDataFrame([("a", "other"), ("b", None), (None, "other")], "property_id string, subcategory string").withColumn("assessed", F.lit(False))
+    c = spark.createDataFrame([("a", "reserve", 5.0)], "property_id string, table string, total_cost_usd double")
+    monkeypatch.setattr(P, "coerced", lambda *a: a[:3])
+    monkeypatch.setattr(P, "record_issues", lambda *a: spark.createDataFrame([("a", "systems", None, "n_rows", "sparse", "1")], "property_id string, layer string, row_idx int, field string, kind string, detail string"))
+    monkeypatch.setattr(V, "totals", lambda *a: None)
+    old = spark.createDataFrame([("a", "new", 0, "kept"), ("b", "new", 2, None)], "property_id string, status string, unresolved int, extra string")
+    verify.store_records(spark, str(tmp_path / "s"), old, p.select("property_id"), p, c, 2)
+    assert not any("-incoming-" in x for x in paths)
+    after = verify.revalidate_store(spark, str(tmp_path / "s"), 2)
+    assert staged == [False] * 4
+    assert sorted((r.property_id, r.status, r.unresolved, r.extra) for r in after.collect()) == [("a", "needs_review", 0, None), ("b", "needs_review", 2, None)]
+    read = lambda name: Store(spark, str(tmp_path / "s" / name), "property_id", 2).read()
+    assert read("systems").count() == 3 and [r.total_cost_usd for r in read("components").collect()] == ["5"] and read("flags").count() == 1
