@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerloom import registries as R
 from ledgerloom.functions import coerce, folding, text
 from ledgerloom.operators import verification as V
+from ledgerloom.plans import derived
 from ledgerloom.plans import revalidate as P
 from ledgerloom.plans import verify
 from ledgerloom.sources.store import Store
@@ -114,3 +115,23 @@ def test_a_revalidation_merges_nothing(spark, monkeypatch, tmp_path):
     assert sorted((r.property_id, r.status, r.unresolved, r.extra) for r in after.collect()) == [("a", "needs_review", 0, None), ("b", "needs_review", 2, None)]
     read = lambda name: Store(spark, str(tmp_path / "s" / name), "property_id", 2).read()
     assert read("systems").count() == 3 and [r.total_cost_usd for r in read("components").collect()] == ["5"] and read("flags").count() == 1
+
+
+def test_items_and_properties_are_made_once(spark, monkeypatch, tmp_path):
+    """Parts were joined to items for each of three tables, and stated totals summed for properties, cells and pages."""
+    d, done = "/root/testdata/sf0.001", []
+    item = derived.table(spark, d, "item")
+    (kept_item,) = verify._once((item.where("k < 200"),), str(tmp_path / "item"))
+    p = derived.table(spark, d, "property", item=kept_item)
+    for name in ("component", "system"):
+        t = derived.table(spark, d, name, item=kept_item)
+        assert "l_orderkey" not in plan(t) and "p_partkey" not in plan(t)
+    few = lambda t: sorted(map(str, t.where("CAST(substr(property_id, 2) AS INT) < 200").collect()))
+    assert few(derived.table(spark, d, "component", item=kept_item)) == few(derived.table(spark, d, "component"))
+    assert few(p) == few(derived.table(spark, d, "property"))
+    made = spark.createDataFrame(p.where("k < 200").collect(), p.schema)
+    assert "o_orderkey" not in plan(derived.table(spark, d, "page", property=made))
+    assert few(derived.table(spark, d, "cell", property=made)) == few(derived.table(spark, d, "cell"))
+    monkeypatch.setattr(verify, "_tidy", lambda s: done.append(s))
+    verify._once((made, made), str(tmp_path / "two"))
+    assert len(done) == 2
